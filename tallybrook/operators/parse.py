@@ -54,10 +54,12 @@ def parse_records(
     least = len(fields) if min_fields is None else min_fields
     kept = [c for c in df.columns if c != value]
 
-    split = (
-        df.where(is_not_blank(F.col(value)))
-        .withColumn("_line", strip_controls(F.col(value)))
-        .withColumn("_fields", _fields(F.col("_line"), sep))
+    line = strip_controls(F.col(value))
+    # A generator with one row: the split is done once, and not again in every filter on its result
+    # that the optimizer would otherwise push below it.
+    split = df.where(is_not_blank(F.col(value))).select(
+        *kept,
+        F.inline(F.array(F.struct(line.alias("_line"), _fields(line, sep).alias("_fields")))),
     )
     size = F.size("_fields")
     arity_ok = size >= least if max_fields is None else size.between(least, max_fields)

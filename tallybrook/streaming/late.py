@@ -24,6 +24,13 @@ _EXTRA = (
 _COLUMNS = [field.split()[0] for field in _EXTRA.split(", ")]
 
 
+def _nulls(like: pd.Series, n: int) -> pd.Series:
+    empty = like.iloc[:0]
+    if pd.api.types.is_integer_dtype(empty):
+        empty = empty.astype("Int64")
+    return empty.reindex(range(n))
+
+
 class _SplitLate(StatefulProcessor):
     def __init__(self, names, order, width, delay, lateness):
         self.names, self.order = names, order
@@ -82,12 +89,15 @@ class _SplitLate(StatefulProcessor):
             elif part is not None or results:
                 self.windows.updateValue((start,), (n, total, revision))
         for frame in emitted:
-            frame = frame.reindex(columns=[*self.order, *_COLUMNS])
             for name, part in zip(self.names, key):
                 frame[name] = part
+            for o in self.order:
+                if o not in frame:
+                    frame[o] = _nulls(out[o], len(frame))
+            frame = frame.reindex(columns=[*self.names, *self.order, *_COLUMNS])
             for c in ("ts_us", "prior_max_us", "n", "revision"):
                 frame[c] = frame[c].astype("Int64")
-            yield frame[[*self.names, *self.order, *_COLUMNS]]
+            yield frame
 
     def close(self) -> None:
         pass

@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -51,7 +51,7 @@ class _Running(StatefulProcessor):
             return
         n, total = self.state.get() if self.state.exists() else (0, 0 if self.whole else 0.0)
         out["n"] = n + np.arange(1, len(out) + 1)
-        amounts = out[self.amount].to_numpy()
+        amounts = out[self.amount].to_numpy() if self.amount else np.ones(len(out), dtype="int64")
         # Added one after another from the carried total, so the batch cut does not change a double.
         out["total"] = np.cumsum(np.concatenate([[total], amounts]))[1:]
         out["average"] = out["total"] / out["n"]
@@ -72,22 +72,22 @@ def running_stream(
     Without an ``amount`` the total is the count. State is kept for ever, or until a key has been
     silent for ``ttl_seconds``.
     """
-    if amount is None:
-        df, amount = df.withColumn("_one", F.lit(1).cast("bigint")), "_one"
-    names = list(dict.fromkeys([*keys, *order, amount]))
+    names = list(dict.fromkeys([*keys, *order, *([amount] if amount else [])]))
     needed = df.select(*names)
-    whole = isinstance(needed.schema[amount].dataType, T.IntegralType)
-    needed = needed.withColumn(amount, F.col(amount).cast("bigint" if whole else "double"))
-    shown = [n for n in names if n != "_one"]
-    output = _output(needed, shown, f"n bigint, total {'bigint' if whole else 'double'}, average double")
+    whole = not amount or isinstance(needed.schema[amount].dataType, T.IntegralType)
+    kind = "bigint" if whole else "double"
+    if amount:
+        needed = needed.withColumn(amount, F.col(amount).cast(kind))
+    output = _output(needed, names, f"n bigint, total {kind}, average double")
     ttl_ms = ttl_seconds and ttl_seconds * 1000
-    return keyed(needed, keys, _Running(shown, list(order), amount, whole, ttl_ms), output, ttl=bool(ttl_ms))
+    processor = _Running(names, list(order), amount, whole, ttl_ms)
+    return keyed(needed, keys, processor, output, ttl=bool(ttl_ms))
 
 
 class _PairFlag(StatefulProcessor):
-    def __init__(self, names, order, amount, small, large, ts, gap_us):
+    def __init__(self, names, order, amount, small, large, gap_us):
         self.names, self.order, self.amount = names, order, amount
-        self.small, self.large, self.ts, self.gap_us = small, large, ts, gap_us
+        self.small, self.large, self.gap_us = small, large, gap_us
 
     def init(self, handle) -> None:
         self.state = handle.getValueState("previous", "amount double, us bigint")
@@ -97,14 +97,14 @@ class _PairFlag(StatefulProcessor):
         if not len(out):
             return
         amount = out[self.amount]
-        us = out["_us"]
-        previous, previous_us = amount.shift(), us.shift()
-        if self.state.exists():
-            previous.iloc[0], previous_us.iloc[0] = self.state.get()
-        flagged = (amount > self.large) & (previous < self.small)
+        us = out["_us"] if self.gap_us is not None else pd.Series(0, index=out.index)
+        carried = self.state.get() if self.state.exists() else None
+        previous = np.concatenate([[carried[0] if carried else np.nan], amount[:-1]])
+        out["flagged"] = (amount > self.large) & (previous < self.small)
         if self.gap_us is not None:
-            flagged &= us - previous_us <= self.gap_us
-        out["flagged"] = flagged
+            # Without a predecessor nothing is flagged above, so its time does not matter.
+            previous_us = np.concatenate([[carried[1] if carried else us.iloc[0]], us[:-1]])
+            out["flagged"] &= us - previous_us <= self.gap_us
         self.state.update((float(amount.iloc[-1]), int(us.iloc[-1])))
         yield out[[*self.names, "flagged"]]
 
@@ -125,10 +125,11 @@ def flag_small_then_large_stream(
 ) -> DataFrame:
     """Streaming twin of ``running.flag_small_then_large``: ``*keys, *order, amount, flagged``."""
     names = list(dict.fromkeys([*keys, *order, amount]))
-    us = F.unix_micros(ts) if ts else F.lit(0).cast("bigint")
-    needed = df.select(*[n for n in names if n != amount], F.col(amount).cast("double").alias(amount), us.alias("_us"))
     gap_us = None if max_gap_seconds is None else int(max_gap_seconds * 1_000_000)
-    processor = _PairFlag(names, list(order), amount, small, large, ts, gap_us)
+    needed = df.select(
+        *names, *([] if gap_us is None else [F.unix_micros(ts).alias("_us")])
+    ).withColumn(amount, F.col(amount).cast("double"))
+    processor = _PairFlag(names, list(order), amount, small, large, gap_us)
     return keyed(needed, keys, processor, _output(needed, names, "flagged boolean"))
 
 
