@@ -16,7 +16,7 @@ from tallybrook.operators import running, tokens, windows
 from tallybrook.plans import batch
 from tallybrook.plans.batch import DAY, HOUR
 from tallybrook.plans.registry import query
-from tallybrook.streaming import late, ordered
+from tallybrook.streaming import carried, late, ordered
 from tallybrook.streaming.windows import count_trigger_stream
 
 
@@ -215,3 +215,53 @@ def card_latest_total_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Per batch and card one change, combined before the shuffle: the form for hot cards."""
     totals = running.latest_total(batch.in_cents(cards_stream(spark, folder)), ["card"], "cents")
     return sinks.replay_update(totals.select("card", "n", "total"), ["card"])
+
+
+# --- by batches with carried totals -------------------------------------------------------------
+
+
+@query(batch.RUNNING_COUNT_LETTER_SQL)
+def running_count_letter_carried(spark: SparkSession, folder: str) -> DataFrame:
+    return carried.running_carried(
+        letter_stream(spark, folder), ["word"], ["conv_id", "turn", "position"]
+    )
+
+
+@query(batch.TOTAL_SQL)
+def card_running_total_carried(spark: SparkSession, folder: str) -> DataFrame:
+    changes = carried.running_carried(
+        batch.exact(cards_stream(spark, folder)), ["card"], batch.CARD_ORDER, "exact"
+    )
+    return changes.select("event_id", "card", F.col("total").cast("double").alias("total"))
+
+
+@query(batch.fraud_sql("AND epoch_us(ts) - epoch_us(prev_ts) <= 6 * 3600 * 1000000::BIGINT"))
+def card_fraud_carried(spark: SparkSession, folder: str) -> DataFrame:
+    flagged = carried.flag_small_then_large_carried(
+        cards_stream(spark, folder),
+        ["card"],
+        batch.CARD_ORDER,
+        "amount",
+        small=1.0,
+        large=100.0,
+        ts="ts",
+        max_gap_seconds=6 * HOUR,
+    )
+    return flagged.where("flagged").select("event_id", "card", "amount")
+
+
+@query(f"SELECT event_id, user_id, value, is_late FROM ({batch.late_sql()})")
+def late_split_carried(spark: SparkSession, folder: str) -> DataFrame:
+    """One arrival sequence over the whole stream, which no keyed state could hold at scale."""
+    events = batch.arrivals(sources.table_stream(spark, f"{folder}/events.parquet"))
+    rows = carried.split_late_carried(
+        events, "ts", ["arrival", "event_id"], HOUR, delay_seconds=1200, lateness_seconds=600
+    )
+    return rows.select("event_id", "user_id", "value", "is_late")
+
+
+@query(batch.trigger_sql())
+def count_trigger_sum_carried(spark: SparkSession, folder: str) -> DataFrame:
+    events = batch.whole_values(sources.table_stream(spark, f"{folder}/events.parquet"))
+    fired = carried.count_trigger_carried(events, "ts", DAY, "amount", 5, ["ts", "event_id"])
+    return windows.firing_line(fired).select("window_start", "firing", "total", "n", "line")
