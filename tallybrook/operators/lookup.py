@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -25,22 +26,17 @@ def lookup(
     """Add ``value`` of the ``dim`` row whose ``dim_key`` equals ``key``, else ``default``.
 
     Never multiplies rows: two dimension rows with one key fail the job. ``df`` may be a stream;
-    ``dim`` is a table. The dimension's size is measured first, reading at most
-    ``max_broadcast_rows + 1`` of its rows: within both limits it is broadcast and ``df`` is not
-    shuffled. Beyond them the join shuffles, with hot keys of ``df`` taken out (see ``_wide``).
+    ``dim`` is a table. The dimension's rows and bytes are counted first: within both limits it is
+    broadcast and ``df`` is not shuffled. Beyond them the join shuffles, with hot keys of ``df`` taken out (see ``_wide``).
     """
     dim_key, out = dim_key or key, out or value
     entries = dim.select(F.col(dim_key).alias("_key"), F.col(value).alias("_value")).where(
         F.col("_key").isNotNull()
     )
-    probe = (
-        entries.limit(max_broadcast_rows + 1)
-        .agg(
-            F.count("*").alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.col("_key").cast("string")) + 16), F.lit(0)).alias("b"),
-        )
-        .first()
-    )
+    size = entries.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(sum((_width(entries, c) for c in entries.columns), F.lit(0))), F.lit(0)).alias("bytes"),
+    ).first()
     unique = (
         entries.groupBy("_key")
         .agg(F.count("*").alias("_n"), F.any_value("_value").alias("_value"))
@@ -56,7 +52,7 @@ def lookup(
             .alias("_value"),
         )
     )
-    if probe["n"] <= max_broadcast_rows and probe["b"] <= max_broadcast_bytes:
+    if size["n"] <= max_broadcast_rows and size["bytes"] <= max_broadcast_bytes:
         joined = df.join(F.broadcast(unique), F.col(key) == F.col("_key"), "left")
     elif df.isStreaming:
         joined = df.join(unique, F.col(key) == F.col("_key"), "left")
@@ -65,6 +61,11 @@ def lookup(
     return joined.select(*df.columns, F.coalesce("_value", F.lit(default)).alias(out))
 
 
+def _width(df: DataFrame, name: str):
+    is_text = isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+    return F.coalesce(F.octet_length(name), F.lit(0)) + 16 if is_text else F.lit(16)
+
+
 def _wide(df: DataFrame, unique: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
     """Left join with a dimension too large to broadcast.
 

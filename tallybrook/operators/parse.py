@@ -64,37 +64,37 @@ def parse_records(
     size = F.size("_fields")
     arity_ok = size >= least if max_fields is None else size.between(least, max_fields)
     raw = [strip_controls(F.get("_fields", F.lit(i))) for i in range(len(fields))]
-    cast = [r.try_cast(f.dataType) for r, f in zip(raw, fields)]
-    unread = F.lit(False)
-    for r, c in zip(raw, cast):
-        unread = unread | (r.isNotNull() & c.isNull())
-    reason = F.when(~arity_ok, "arity").when(unread, "value")
-
-    tagged = split.select(
-        *kept,
-        F.col("_line"),
-        reason.alias("bad_reason"),
-        *[c.alias(f.name) for c, f in zip(cast, fields)],
-    )
-    for name, policy in (("arity", on_arity), ("value", on_bad)):
-        if policy == "drop":
-            tagged = tagged.where(~F.col("bad_reason").eqNullSafe(name))
-        elif policy == "fail":
-            message = F.concat(F.lit(f"record with bad {name}: "), F.col("_line"))
-            tagged = tagged.withColumn(
-                "bad_reason",
-                F.when(F.col("bad_reason") == name, F.raise_error(message).cast("string")).otherwise(
-                    F.col("bad_reason")
-                ),
-            ).where(F.col("bad_reason").isNull() | (F.col("bad_reason") != name))
-
-    names = [f.name for f in fields]
+    cast = [
+        r if isinstance(f.dataType, T.StringType) else r.try_cast(f.dataType)
+        for r, f in zip(raw, fields)
+    ]
+    # A field that has to be there is unreadable when its cast is null, an optional one only if it
+    # was there.
+    readable = F.lit(True)
+    for i, f in enumerate(fields):
+        if not isinstance(f.dataType, T.StringType):
+            readable = readable & (
+                cast[i].isNotNull() if i < least else cast[i].isNotNull() | raw[i].isNull()
+            )
+
+    for is_ok, policy, cause in ((arity_ok, on_arity, "arity"), (readable, on_bad, "value")):
+        if policy == "fail":
+            message = F.concat(F.lit(f"record with bad {cause}: "), F.col("_line"))
+            is_ok = F.when(is_ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        if policy != "quarantine":
+            # A short line has nothing to cast, so it must not count as unreadable too.
+            keep_arity = cause == "value" and on_arity == "quarantine"
+            split = split.where(is_ok | ~arity_ok if keep_arity else is_ok)
+
+    typed = [c.alias(f.name) for c, f in zip(cast, fields)]
     if "quarantine" not in (on_arity, on_bad):
-        return tagged.select(*kept, *names)
+        return split.select(*kept, *typed)
+    reason = F.when(~arity_ok, "arity").when(~readable, "value").alias("bad_reason")
+    tagged = split.select(*kept, "_line", *typed, reason)
     is_good = F.col("bad_reason").isNull()
     return tagged.select(
         *kept,
-        *[F.when(is_good, F.col(n)).alias(n) for n in names],
+        *[F.when(is_good, F.col(f.name)).alias(f.name) for f in fields],
         F.when(~is_good, F.col("_line")).alias("bad_line"),
         "bad_reason",
     )

@@ -227,7 +227,8 @@ def sales_per_window(spark: SparkSession, folder: str) -> DataFrame:
         "l_shipdate",
         30 * DAY,
         ["product"],
-        {"sales": F.sum(F.col("subtotal").cast("decimal(18,2)")).cast("double")},
+        # Whole cents add up exactly in any order, and faster than decimals.
+        {"sales": F.sum(F.round(F.col("subtotal") * 100).cast("bigint")) / 100},
     )
     return sold.drop("window_end")
 

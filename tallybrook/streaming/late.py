@@ -1,39 +1,26 @@
 """Late rows of a stream as data. Rules and terms as in ``operators.late``, per key.
 
 Spark's own watermark moves only between batches and drops late rows unseen, so the largest time so
-far is kept as state here.
+far is kept as state here. For one sequence over all keys, or hot keys, see ``streaming.carried``.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from tallybrook.streaming.ordered import in_order
-
-_EXTRA = (
-    "kind string, ts_us bigint, value double, prior_max_us bigint, "
-    "start_us bigint, n bigint, total double, revision int"
-)
-_COLUMNS = [field.split()[0] for field in _EXTRA.split(", ")]
-
-
-def _nulls(like: pd.Series, n: int) -> pd.Series:
-    empty = like.iloc[:0]
-    if pd.api.types.is_integer_dtype(empty):
-        empty = empty.astype("Int64")
-    return empty.reindex(range(n))
+from tallybrook.streaming.ordered import fold_keys, in_order
 
 
 class _SplitLate(StatefulProcessor):
-    def __init__(self, names, order, width, delay, lateness):
-        self.names, self.order = names, order
+    """Times in microseconds. A window is held as ``[n, total, revision]``; -1 is not emitted yet."""
+
+    def __init__(self, keys, order, width, delay, lateness):
+        self.keys, self.order = keys, order
         self.width, self.delay, self.lateness = width, delay, lateness
 
     def init(self, handle) -> None:
@@ -42,62 +29,53 @@ class _SplitLate(StatefulProcessor):
             "windows", "start bigint", "n bigint, total double, revision int"
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = in_order(rows, self.order)
-        if not len(out):
-            return
-        none = np.iinfo("int64").min
-        carried = self.largest.get()[0] if self.largest.exists() else none
-        after = np.maximum.accumulate(np.maximum(out["ts_us"].to_numpy(), carried))
-        before = np.concatenate([[carried], after[:-1]])
-        out["start_us"] = out["ts_us"] // self.width * self.width
-        # The first row has met no time; compare without overflow by testing it apart.
-        closing = out["start_us"].to_numpy() + self.width + self.delay
-        is_late = (before != none) & (before >= closing + self.lateness)
-        out["prior_max_us"] = pd.array(np.where(before == none, 0, before), dtype="Int64")
-        out.loc[before == none, "prior_max_us"] = pd.NA
-        out["kind"] = np.where(is_late, "late", "on_time")
-        now = int(after[-1])
-        self.largest.update((now,))
-
-        out["_closed"] = (before != none) & (before >= closing)
-        emitted = [out]
-        accepted = out[~is_late]
-        touched = dict(list(accepted.groupby("start_us")))
-        open_starts = {start for (start,) in self.windows.keys()}
-        for start in sorted(open_starts | set(touched)):
-            n, total, revision = self.windows.getValue((start,)) if start in open_starts else (0, 0.0, -1)
-            part = touched.get(start)
-            results = []
-            if part is not None:
-                # What came before the close is in the first result, each later row is a revision.
-                early = part[~part["_closed"]]
-                n, total = n + len(early), total + float(early["value"].sum())
-            if revision < 0 and n and now >= start + self.width + self.delay:
-                revision = 0
-                results.append((n, total, revision))
-            if part is not None:
-                for value in part.loc[part["_closed"], "value"]:
-                    n, total, revision = n + 1, total + float(value), revision + 1
-                    results.append((n, total, revision))
-            if results:
-                frame = pd.DataFrame(results, columns=["n", "total", "revision"])
-                emitted.append(frame.assign(kind="window", start_us=start))
-            if now >= start + self.width + self.delay + self.lateness:
-                if start in open_starts:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.largest.get()
+        largest = held[0] if held else None
+        stored = {start: list(window) for (start,), window in self.windows.iterator()}
+        windows = {start: list(window) for start, window in stored.items()}
+        waiting = [start for start, window in windows.items() if window[2] < 0]
+        heapq.heapify(waiting)
+        no_row = [None] * len(self.order)
+
+        def result(start: int) -> Row:
+            n, total, revision = windows[start]
+            return self.row(*key, *no_row, "window", None, None, None, start, n, total, revision)
+
+        for row in in_order(rows, self.order):
+            ts, value = row["_ts"], row["_value"]
+            start = ts - ts % self.width
+            closing = start + self.width + self.delay
+            is_late = largest is not None and largest >= closing + self.lateness
+            yield self.row(
+                *key, *[row[o] for o in self.order], "late" if is_late else "on_time",
+                ts, value, largest, start, None, None, None,
+            )
+            if is_late:
+                continue
+            if start not in windows:
+                windows[start] = [0, 0.0, -1]
+                heapq.heappush(waiting, start)
+            window = windows[start]
+            window[0] += 1
+            window[1] += value or 0.0
+            if largest is not None and largest >= closing:
+                window[2] += 1
+                yield result(start)
+            largest = ts if largest is None else max(largest, ts)
+            while waiting and waiting[0] + self.width + self.delay <= largest:
+                done = heapq.heappop(waiting)
+                if windows[done][2] < 0:
+                    windows[done][2] = 0
+                    yield result(done)
+
+        self.largest.update((largest,))
+        for start, window in windows.items():
+            if start + self.width + self.delay + self.lateness <= largest:
+                if start in stored:
                     self.windows.removeKey((start,))
-            elif part is not None or results:
-                self.windows.updateValue((start,), (n, total, revision))
-        for frame in emitted:
-            for name, part in zip(self.names, key):
-                frame[name] = part
-            for o in self.order:
-                if o not in frame:
-                    frame[o] = _nulls(out[o], len(frame))
-            frame = frame.reindex(columns=[*self.names, *self.order, *_COLUMNS])
-            for c in ("ts_us", "prior_max_us", "n", "revision"):
-                frame[c] = frame[c].astype("Int64")
-            yield frame
+            elif stored.get(start) != window:
+                self.windows.updateValue((start,), tuple(window))
 
     def close(self) -> None:
         pass
@@ -120,26 +98,28 @@ def split_late_stream(
     ``window``: count and sum of a window when it closes (``revision`` 0), and again for each row
     accepted after that. Columns: ``*keys, *order, kind, ts, value, prior_max_ts, window_start,
     window_end, n, total, revision``; those of the other kind are null.
-    Windows still open when the input ends are not emitted.
+    Windows still open when the input ends are not emitted. Rows without a time are left out.
     """
-    needed = df.select(
-        *keys,
-        *[F.col(o) for o in order if o not in keys],
-        F.unix_micros(ts).alias("ts_us"),
-        F.col(value).cast("double").alias("value"),
-    ).where(F.col("ts_us").isNotNull())
     order = [o for o in order if o not in keys]
-    names = [*keys, *order]
-    output = T.StructType([needed.schema[n] for n in names] + T.StructType.fromDDL(_EXTRA).fields)
+    needed = df.where(F.col(ts).isNotNull()).select(
+        *keys, *order, F.unix_micros(ts).alias("_ts"), F.col(value).cast("double").alias("_value")
+    )
     micros = [1_000_000 * s for s in (seconds, delay_seconds, lateness_seconds)]
-    processor = _SplitLate(list(keys), order, *micros)
-    tagged = needed.groupBy(*keys).transformWithStateInPandas(processor, output, "append", "none")
+    tagged = fold_keys(
+        needed,
+        keys,
+        _SplitLate(list(keys), order, *micros),
+        [*keys, *order],
+        "kind string, ts_us bigint, value double, prior_us bigint, start_us bigint, "
+        "n bigint, total double, revision int",
+    )
     return tagged.select(
-        *names,
+        *keys,
+        *order,
         "kind",
         F.timestamp_micros("ts_us").alias("ts"),
         "value",
-        F.timestamp_micros("prior_max_us").alias("prior_max_ts"),
+        F.timestamp_micros("prior_us").alias("prior_max_ts"),
         F.timestamp_micros("start_us").alias("window_start"),
         F.timestamp_micros(F.col("start_us") + seconds * 1_000_000).alias("window_end"),
         "n",

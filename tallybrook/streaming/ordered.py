@@ -1,40 +1,53 @@
 """Per-row results of keyed streams: running count, total and average, pair flags, top k.
 
 The rows of a key that arrive in one batch are put into ``order`` first; a row that arrives in a
-later batch counts as later, whatever its order. Rows of one key are folded by one task, as the
-results depend on their order, with only the needed columns held: bound the batch with the source's
-``maxFilesPerTrigger``, ``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``. Where one change per key
-and batch is enough, ``running.latest_total`` on the stream has no such limit.
+later batch counts as later, whatever its order. The results depend on that order, so one task folds
+the rows that a key has in a batch: bound the batch with the source's ``maxFilesPerTrigger``,
+``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``. For large batches or hot keys use
+``streaming.carried``, or ``running.latest_total`` on the stream where one change per key and batch
+is enough.
 """
 
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 
-def in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    batches = [b for b in rows if len(b)]
-    if not batches:
-        return pd.DataFrame()
-    return pd.concat(batches, ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+def in_order(rows: Iterable[Row], order: Sequence[str]) -> list[Row]:
+    """Sorted by ``order``, nulls first."""
+    return sorted(rows, key=lambda row: [(row[o] is not None, row[o]) for o in order])
 
 
-def keyed(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output, *, ttl: bool = False) -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(
-        processor, output, "append", "processingTime" if ttl else "none"
-    )
+def timestamps_as_micros(df: DataFrame) -> DataFrame:
+    """Times as whole microseconds: Python would shift them through its own time zone."""
+    return df.withColumns({c: F.unix_micros(c) for c, t in df.dtypes if t == "timestamp"})
+
+
+def micros_as_timestamps(df: DataFrame, like: DataFrame) -> DataFrame:
+    times = [c for c, t in like.dtypes if t == "timestamp" and c in df.columns]
+    return df.withColumns({c: F.timestamp_micros(c) for c in times})
 
 
-def _output(df: DataFrame, names: Sequence[str], extra: str) -> T.StructType:
-    return T.StructType([df.schema[n] for n in names] + T.StructType.fromDDL(extra).fields)
+def fold_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    processor: StatefulProcessor,
+    shown: Sequence[str],
+    extra: str,
+    time_mode: str = "none",
+) -> DataFrame:
+    """Run ``processor`` per key; its rows have the columns ``shown`` of ``df`` and then ``extra``."""
+    plain = timestamps_as_micros(df)
+    output = T.StructType([plain.schema[c] for c in shown] + T.StructType.fromDDL(extra).fields)
+    processor.row = Row(*output.names)
+    folded = plain.groupBy(*keys).transformWithState(processor, output, "append", time_mode)
+    return micros_as_timestamps(folded, df)
 
 
 class _Running(StatefulProcessor):
@@ -45,30 +58,30 @@ class _Running(StatefulProcessor):
         kind = "bigint" if self.whole else "double"
         self.state = handle.getValueState("totals", f"n bigint, total {kind}", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = in_order(rows, self.order)
-        if not len(out):
-            return
-        n, total = self.state.get() if self.state.exists() else (0, 0 if self.whole else 0.0)
-        out["n"] = n + np.arange(1, len(out) + 1)
-        amounts = out[self.amount].to_numpy() if self.amount else np.ones(len(out), dtype="int64")
-        # Added one after another from the carried total, so the batch cut does not change a double.
-        out["total"] = np.cumsum(np.concatenate([[total], amounts]))[1:]
-        out["average"] = out["total"] / out["n"]
-        last = out.iloc[-1]
-        self.state.update((int(last["n"]), int(last["total"]) if self.whole else float(last["total"])))
-        yield out[[*self.names, "n", "total", "average"]]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, total = self.state.get() or (0, 0 if self.whole else 0.0)
+        for row in in_order(rows, self.order):
+            amount = row[self.amount] if self.amount else 1
+            if amount is not None:
+                n, total = n + 1, total + amount
+            yield self.row(*[row[c] for c in self.names], n, total, total / n if n else None)
+        self.state.update((n, total))
 
     def close(self) -> None:
         pass
 
 
 def running_stream(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str | None = None, *, ttl_seconds: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    amount: str | None = None,
+    *,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
     """Every change of a key's count, total and average: ``*keys, *order, amount, n, total, average``.
 
-    Integer amounts are added as 64-bit integers, others as doubles; amounts must not be null.
+    Integer amounts are added as 64-bit integers, others as doubles; null amounts do not count.
     Without an ``amount`` the total is the count. State is kept for ever, or until a key has been
     silent for ``ttl_seconds``.
     """
@@ -78,10 +91,15 @@ def running_stream(
     kind = "bigint" if whole else "double"
     if amount:
         needed = needed.withColumn(amount, F.col(amount).cast(kind))
-    output = _output(needed, names, f"n bigint, total {kind}, average double")
     ttl_ms = ttl_seconds and ttl_seconds * 1000
-    processor = _Running(names, list(order), amount, whole, ttl_ms)
-    return keyed(needed, keys, processor, output, ttl=bool(ttl_ms))
+    return fold_keys(
+        needed,
+        keys,
+        _Running(names, list(order), amount, whole, ttl_ms),
+        names,
+        f"n bigint, total {kind}, average double",
+        "processingTime" if ttl_ms else "none",
+    )
 
 
 class _PairFlag(StatefulProcessor):
@@ -92,21 +110,18 @@ class _PairFlag(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getValueState("previous", "amount double, us bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = in_order(rows, self.order)
-        if not len(out):
-            return
-        amount = out[self.amount]
-        us = out["_us"] if self.gap_us is not None else pd.Series(0, index=out.index)
-        carried = self.state.get() if self.state.exists() else None
-        previous = np.concatenate([[carried[0] if carried else np.nan], amount[:-1]])
-        out["flagged"] = (amount > self.large) & (previous < self.small)
-        if self.gap_us is not None:
-            # Without a predecessor nothing is flagged above, so its time does not matter.
-            previous_us = np.concatenate([[carried[1] if carried else us.iloc[0]], us[:-1]])
-            out["flagged"] &= us - previous_us <= self.gap_us
-        self.state.update((float(amount.iloc[-1]), int(us.iloc[-1])))
-        yield out[[*self.names, "flagged"]]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before, before_us = self.state.get() or (None, None)
+        for row in in_order(rows, self.order):
+            amount, us = row[self.amount], row["_us"] if self.gap_us is not None else None
+            flagged = (
+                before is not None and before < self.small and amount is not None and amount > self.large
+            )
+            if flagged and self.gap_us is not None:
+                flagged = us - before_us <= self.gap_us
+            yield self.row(*[row[c] for c in self.names], flagged)
+            before, before_us = amount, us
+        self.state.update((before, before_us))
 
     def close(self) -> None:
         pass
@@ -130,7 +145,7 @@ def flag_small_then_large_stream(
         *names, *([] if gap_us is None else [F.unix_micros(ts).alias("_us")])
     ).withColumn(amount, F.col(amount).cast("double"))
     processor = _PairFlag(names, list(order), amount, small, large, gap_us)
-    return keyed(needed, keys, processor, _output(needed, names, "flagged boolean"))
+    return fold_keys(needed, keys, processor, names, "flagged boolean")
 
 
 class _TopK(StatefulProcessor):
@@ -140,24 +155,21 @@ class _TopK(StatefulProcessor):
     def init(self, handle) -> None:
         self.state = handle.getListState("best", "amount double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = in_order(rows, self.order)
-        if not len(out):
-            return
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # Negated and ascending: an equal later amount goes behind the earlier ones.
-        best = sorted(-a for (a,) in self.state.get())
-        amounts = out[self.amount].to_numpy()
-        kept, ranks = [], []
-        for i in range(len(amounts)):
-            at = bisect.bisect_right(best, -amounts[i])
+        best = sorted(-amount for (amount,) in self.state.get())
+        changed = False
+        for row in in_order(rows, self.order):
+            if row[self.amount] is None:
+                continue
+            at = bisect.bisect_right(best, -row[self.amount])
             if at < self.k:
-                best.insert(at, -amounts[i])
+                best.insert(at, -row[self.amount])
                 del best[self.k :]
-                kept.append(i)
-                ranks.append(at + 1)
-        if kept:
-            self.state.put([(-float(a),) for a in best])
-            yield out.iloc[kept].assign(rank=ranks)[[*self.names, "rank"]]
+                changed = True
+                yield self.row(*[row[c] for c in self.names], at + 1)
+        if changed:
+            self.state.put([(-amount,) for amount in best])
 
     def close(self) -> None:
         pass
@@ -168,9 +180,10 @@ def top_k_stream(
 ) -> DataFrame:
     """Rows that are among their key's ``k`` largest when they arrive, with their ``rank`` then.
 
-    The final top k of each key are among them: ``running.top_k`` over the output gives it.
+    ``*keys, *order, amount, rank``. The final top k of each key are among them: ``running.top_k``
+    over the output gives it.
     """
     names = list(dict.fromkeys([*keys, *order, amount]))
     needed = df.select(*names)
     needed = needed.withColumn(amount, F.col(amount).cast("double"))
-    return keyed(needed, keys, _TopK(names, list(order), amount, k), _output(needed, names, "rank int"))
+    return fold_keys(needed, keys, _TopK(names, list(order), amount, k), names, "rank int")

@@ -4,74 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from tallybrook.operators.windows import with_window
-from tallybrook.streaming.ordered import in_order
+from tallybrook.streaming.ordered import fold_keys, in_order
 
 
 class _CountTrigger(StatefulProcessor):
-    def __init__(self, names, order, value, k, echo, clear_at_end, emit_remainder):
-        self.names, self.order, self.value, self.k = names, order, value, k
-        self.echo, self.clear_at_end, self.emit_remainder = echo, clear_at_end, emit_remainder
+    def __init__(self, order, value, k, echo, clear_at_end, emit_remainder):
+        self.order, self.value, self.k, self.echo = order, value, k, echo
+        self.clear_at_end, self.emit_remainder = clear_at_end, emit_remainder
 
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("open", "firing bigint, n bigint, total bigint")
 
-    def _rows(self, key, **columns) -> pd.DataFrame:
-        size = len(next(iter(columns.values())))
-        frame = pd.DataFrame({name: [part] * size for name, part in zip(self.names, key)})
-        return frame.assign(**columns)[[*self.names, "kind", "firing", "total", "n"]]
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = in_order(rows, self.order)
-        if not len(arrived):
-            return
-        values = arrived[self.value].to_numpy()
-        if not self.state.exists():
-            firing, n, total = 0, 0, 0
-            if self.clear_at_end:
-                self.handle.registerTimer(int(arrived["_end_ms"].iloc[0]))
-        else:
-            firing, n, total = self.state.get()
-        # Sums before each position; every k-th row of the window closes a firing.
-        sums = np.concatenate([[0], np.cumsum(values)])
-        ends = np.arange(self.k - n, len(values) + 1, self.k)
-        if self.echo:
-            yield self._rows(
-                key,
-                kind=["input"] * len(values),
-                firing=firing + (n + np.arange(len(values))) // self.k,
-                total=values,
-                n=np.ones(len(values), dtype="int64"),
-            )
-        if len(ends):
-            fired = np.diff(np.concatenate([[0], sums[ends]]))
-            fired[0] += total
-            yield self._rows(
-                key,
-                kind=["sum"] * len(ends),
-                firing=firing + np.arange(len(ends)),
-                total=fired,
-                n=np.full(len(ends), self.k),
-            )
-            left = len(values) - int(ends[-1])
-            self.state.update((firing + len(ends), left, int(sums[-1] - sums[ends[-1]])))
-        else:
-            self.state.update((firing, n + len(values), total + int(sums[-1])))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            firing, n, total = self.state.get()
-            self.state.clear()
-            if n and self.emit_remainder:
-                yield self._rows(key, kind=["sum"], firing=[firing], total=[total], n=[n])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.state.get()
+        firing, n, total = held or (0, 0, 0)
+        for row in in_order(rows, self.order):
+            if held is None and self.clear_at_end:
+                held = (firing, n, total)
+                self.handle.registerTimer(row["_end_ms"])
+            value = row[self.value]
+            if self.echo:
+                yield self.row(*key, "input", firing, value, 1)
+            n, total = n + 1, total + (value or 0)
+            if n == self.k:
+                yield self.row(*key, "sum", firing, total, n)
+                firing, n, total = firing + 1, 0, 0
+        self.state.update((firing, n, total))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        firing, n, total = self.state.get() or (0, 0, 0)
+        self.state.clear()
+        if n and self.emit_remainder:
+            yield self.row(*key, "sum", firing, total, n)
 
     def close(self) -> None:
         pass
@@ -97,54 +69,53 @@ def count_trigger_stream(
     outputs. With ``clear_at_end`` a timer at the window's end (processing time; for an ingest-time
     ``ts``) forgets the rows that did not fill a firing, or emits them with ``emit_remainder``.
     Without it replays give the same result however the input is cut into batches.
-    The rows of one window and key fold in one task: key the trigger where one window is large.
+    The rows that one window and key have in a batch fold in one task; for large ones see
+    ``streaming.carried``.
     """
+    if k < 1:
+        raise ValueError("k must be at least 1")
     if emit_remainder and not clear_at_end:
         raise ValueError("emit_remainder needs clear_at_end on a stream")
     names = ["window_start", "window_end", *keys]
-    needed = with_window(df.select(*dict.fromkeys([*keys, ts, value, *order])), ts, seconds)
-    needed = needed.withColumns(
-        {value: F.col(value).cast("bigint"), "_end_ms": F.unix_millis("window_end")}
-    )
-    output = T.StructType(
-        [needed.schema[n] for n in names]
-        + T.StructType.fromDDL("kind string, firing bigint, total bigint, n bigint").fields
+    needed = (
+        with_window(df.select(*dict.fromkeys([*keys, ts, value, *order])), ts, seconds)
+        .withColumn(value, F.col(value).cast("bigint"))
+        .select(
+            *dict.fromkeys([*names, *order, value]), F.unix_millis("window_end").alias("_end_ms")
+        )
     )
-    processor = _CountTrigger(names, list(order), value, k, echo, clear_at_end, emit_remainder)
-    return needed.groupBy(*names).transformWithStateInPandas(
-        processor, output, "append", "processingTime" if clear_at_end else "none"
+    return fold_keys(
+        needed,
+        names,
+        _CountTrigger(list(order), value, k, echo, clear_at_end, emit_remainder),
+        names,
+        "kind string, firing bigint, total bigint, n bigint",
+        "processingTime" if clear_at_end else "none",
     )
 
 
 class _IdleWindow(StatefulProcessor):
-    def __init__(self, names):
-        self.names = names
-
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("window", "n bigint, total double, largest double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        for part in rows:
-            if not len(part):
-                continue
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.state.get()
+        for row in rows:
             if held is None:
-                held = (0, 0.0, -np.inf)
-                self.handle.registerTimer(int(part["_end_ms"].iloc[0]))
-            held = (
-                held[0] + int(part["n"].sum()),
-                held[1] + float(part["total"].sum()),
-                float(np.maximum(held[2], part["largest"].to_numpy().max())),
-            )
+                held = (row["n"], row["total"], row["largest"])
+                self.handle.registerTimer(row["_end_ms"])
+            else:
+                held = (
+                    held[0] + row["n"], held[1] + row["total"], max(held[2], row["largest"])
+                )
         self.state.update(held)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n, total, largest = self.state.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        totals = self.state.get()
         self.state.clear()
-        row = dict(zip(self.names, key))
-        yield pd.DataFrame([{**row, "n": n, "total": total, "largest": largest}])
+        yield self.row(*key, *totals)
 
     def close(self) -> None:
         pass
@@ -155,16 +126,21 @@ def window_agg_when_idle(
 ) -> DataFrame:
     """Count, sum and maximum per window and key, out when the clock passes the window's end.
 
+    ``window_start, window_end, *keys, n, total, largest``; null values are left out.
     ``windows.window_agg`` needs later rows to close a window; this one fires by itself, so ``ts``
     should be the ingest time. Rows are combined inside each task before the shuffle.
     """
     names = ["window_start", "window_end", *keys]
-    needed = with_window(df.select(*dict.fromkeys([*keys, ts, value])), ts, seconds).select(
-        *names, F.unix_millis("window_end").alias("_end_ms"), F.col(value).cast("double").alias("_v")
+    needed = (
+        with_window(df.select(*dict.fromkeys([*keys, ts, value])), ts, seconds)
+        .where(F.col(value).isNotNull())
+        .select(
+            *names, F.unix_millis("window_end").alias("_end_ms"), F.col(value).cast("double").alias("_v")
+        )
     )
-    combined_type = T.StructType(
-        [needed.schema[n] for n in [*names, "_end_ms"]]
-        + T.StructType.fromDDL("n bigint, total double, largest double").fields
+    totals = "n bigint, total double, largest double"
+    combined = T.StructType(
+        [needed.schema[n] for n in [*names, "_end_ms"]] + T.StructType.fromDDL(totals).fields
     )
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,12 +148,6 @@ def window_agg_when_idle(
             grouped = batch.groupby([*names, "_end_ms"], dropna=False, sort=False)["_v"]
             yield grouped.agg(n="size", total="sum", largest="max").reset_index()
 
-    output = T.StructType(
-        [needed.schema[n] for n in names]
-        + T.StructType.fromDDL("n bigint, total double, largest double").fields
-    )
-    return (
-        needed.mapInPandas(combine, combined_type)
-        .groupBy(*names)
-        .transformWithStateInPandas(_IdleWindow(names), output, "append", "processingTime")
+    return fold_keys(
+        needed.mapInPandas(combine, combined), names, _IdleWindow(), names, totals, "processingTime"
     )
