@@ -17,7 +17,7 @@ from tallybrook.operators.scan import prefix_scan
 from tallybrook.operators.windows import window_agg, with_window
 
 # One sequence over the whole table is cut sooner than a per-key one: nothing else splits it.
-GLOBAL_ROWS_PER_CHUNK = 1 << 17
+GLOBAL_ROWS_PER_CHUNK = 1 << 13
 
 
 def prior_max(df: DataFrame, ts: str, order: Sequence[str], keys: Sequence[str] = (), **scan) -> DataFrame:

@@ -76,10 +76,12 @@ def _wide(df: DataFrame, unique: DataFrame, key: str, max_hot: int = 1000) -> Da
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     bar = max(1, df.count() // max_hot)
     hot = counts.where(F.col("_n") > bar).select(F.col(key).alias("_hot_key"))
-    hot_values = (
-        unique.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"), "right")
-        .select("_hot_key", F.col("_value").alias("_hot_value"))
-    )
+    found = unique.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"))
+    hot_values = hot.join(
+        F.broadcast(found.select(F.col("_key"), F.col("_value").alias("_hot_value"))),
+        F.col("_hot_key") == F.col("_key"),
+        "left",
+    ).drop("_key")
     salted = df.join(F.broadcast(hot_values), F.col(key) == F.col("_hot_key"), "left").withColumn(
         "_salt",
         F.when(

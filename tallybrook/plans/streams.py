@@ -20,8 +20,12 @@ from tallybrook.streaming import carried, late, ordered
 from tallybrook.streaming.windows import count_trigger_stream
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return sources.table_stream(spark, f"{folder}/events.parquet", "ts")
+# For streams that fold the rows of a key and batch in one task (see ``streaming.ordered``).
+BOUNDED = {"maxBytesPerTrigger": 4 << 30}
+
+
+def events_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return sources.table_stream(spark, f"{folder}/events.parquet", "ts", **options)
 
 
 def closed(sql: str) -> str:
@@ -57,15 +61,17 @@ def category_total_stream(spark: SparkSession, folder: str) -> DataFrame:
     return as_wall_clock(as_wall_clock(rows, "window_start"), "window_end")
 
 
-def letter_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.letter_tokens(sources.table_stream(spark, f"{folder}/conversations.parquet"))
+def letter_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return batch.letter_tokens(
+        sources.table_stream(spark, f"{folder}/conversations.parquet", **options)
+    )
 
 
 @query(batch.RUNNING_COUNT_LETTER_SQL)
 def running_count_letter_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every change of every word's count."""
     changes = ordered.running_stream(
-        letter_stream(spark, folder), ["word"], ["conv_id", "turn", "position"]
+        letter_stream(spark, folder, **BOUNDED), ["word"], ["conv_id", "turn", "position"]
     )
     return sinks.replay_append(changes.select("conv_id", "turn", "position", "word", "n"))
 
@@ -78,7 +84,7 @@ def letter_count_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def counted_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
-    events = batch.whole_values(events_stream(spark, folder))
+    events = batch.whole_values(events_stream(spark, folder, **BOUNDED))
     return count_trigger_stream(events, "ts", DAY, "amount", 5, ["ts", "event_id"], **options)
 
 
@@ -108,7 +114,7 @@ def trigger_echo_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def late_stream(spark: SparkSession, folder: str) -> DataFrame:
-    events = sources.table_stream(spark, f"{folder}/events.parquet")
+    events = sources.table_stream(spark, f"{folder}/events.parquet", **BOUNDED)
     arrived = as_instant(as_instant(batch.arrivals(events), "ts"), "arrival")
     return late.split_late_stream(
         arrived,
@@ -154,15 +160,15 @@ def late_windows_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def cards_stream(spark: SparkSession, folder: str) -> DataFrame:
-    events = events_stream(spark, folder)
+def cards_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
+    events = events_stream(spark, folder, **options)
     return events.select(
         "event_id", "ts", F.col("user_id").alias("card"), F.col("value").alias("amount")
     )
 
 
 def totals_stream(spark: SparkSession, folder: str) -> DataFrame:
-    transactions = batch.in_cents(cards_stream(spark, folder))
+    transactions = batch.in_cents(cards_stream(spark, folder, **BOUNDED))
     return sinks.replay_append(
         ordered.running_stream(transactions, ["card"], batch.CARD_ORDER, "cents")
     )
@@ -185,7 +191,12 @@ def card_running_avg_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query(batch.fraud_sql())
 def card_fraud_stream(spark: SparkSession, folder: str) -> DataFrame:
     flagged = ordered.flag_small_then_large_stream(
-        cards_stream(spark, folder), ["card"], batch.CARD_ORDER, "amount", small=1.0, large=100.0
+        cards_stream(spark, folder, **BOUNDED),
+        ["card"],
+        batch.CARD_ORDER,
+        "amount",
+        small=1.0,
+        large=100.0,
     )
     return sinks.replay_append(flagged.where("flagged").select("event_id", "card", "amount"))
 
@@ -193,8 +204,9 @@ def card_fraud_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query(batch.TOP3_SQL)
 def card_top3_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The final top 3, out of the rows that were in it when they arrived."""
+    transactions = cards_stream(spark, folder, **BOUNDED)
     entered = sinks.replay_append(
-        ordered.top_k_stream(cards_stream(spark, folder), ["card"], batch.CARD_ORDER, "amount", 3)
+        ordered.top_k_stream(transactions, ["card"], batch.CARD_ORDER, "amount", 3)
     )
     return batch.top3(entered.drop("rank"))
 
