@@ -20,7 +20,7 @@ DEFAULTS = {
 
 
 def build_session(app: str = "tallybrook", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library's defaults; ``conf`` keys use ``_`` for ``.``-free overrides.
+    """A session with the library's defaults; ``conf`` adds or replaces settings.
 
     ``spark.sql.shuffle.partitions`` is left to the cluster: for batch work AQE coalesces it, for
     streams it fixes the number of state partitions, so it should be about 2-3x the cores there.
@@ -33,6 +33,9 @@ def build_session(app: str = "tallybrook", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, unique to this call.
 
@@ -40,10 +43,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallybrook-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallybrook-")
+        root = _LOCAL_ROOTS[context.applicationId]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

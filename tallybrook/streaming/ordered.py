@@ -83,7 +83,8 @@ def running_stream(
 
     Integer amounts are added as 64-bit integers, others as doubles; null amounts do not count.
     Without an ``amount`` the total is the count. State is kept for ever, or until a key has been
-    silent for ``ttl_seconds``.
+    silent for ``ttl_seconds``; a stream whose state expires needs a ``processingTime`` trigger, as
+    under ``availableNow`` it would never end.
     """
     names = list(dict.fromkeys([*keys, *order, *([amount] if amount else [])]))
     needed = df.select(*names)

@@ -67,7 +67,8 @@ def count_trigger_stream(
     ``window_start, window_end, *keys, kind, firing, total, n`` for an integer ``value``; ``kind`` is
     ``sum``, and with ``echo`` also ``input``, one row per input row, so that one query feeds both
     outputs. With ``clear_at_end`` a timer at the window's end (processing time; for an ingest-time
-    ``ts``) forgets the rows that did not fill a firing, or emits them with ``emit_remainder``.
+    ``ts``) forgets the rows that did not fill a firing, or emits them with ``emit_remainder``; it
+    needs a ``processingTime`` trigger, as under ``availableNow`` the stream would never end.
     Without it replays give the same result however the input is cut into batches.
     The rows that one window and key have in a batch fold in one task; for large ones see
     ``streaming.carried``.
@@ -128,7 +129,7 @@ def window_agg_when_idle(
 
     ``window_start, window_end, *keys, n, total, largest``; null values are left out.
     ``windows.window_agg`` needs later rows to close a window; this one fires by itself, so ``ts``
-    should be the ingest time. Rows are combined inside each task before the shuffle.
+    should be the ingest time, and the trigger ``processingTime``. Rows are combined inside each task before the shuffle.
     """
     names = ["window_start", "window_end", *keys]
     needed = (

@@ -17,8 +17,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     names, rows, _ = actual(QUERIES[name](spark, DATA))
-    assert rows
-    if name in ORACLES:
+    if name not in ORACLES:
+        assert rows
+    else:
         want_names, want, _ = expected(con, ORACLES[name])
         assert names == want_names
         assert rows == want
