@@ -26,17 +26,20 @@ def window_agg(
     keys: Sequence[str],
     aggs: dict[str, Column],
     *,
-    delay_seconds: int = 0,
+    delay_seconds: int | None = 0,
 ) -> DataFrame:
     """``window_start, window_end, *keys, *aggs``; ``keys=[]`` gives one group per window.
 
     Batch or stream. Built-in aggregates are kept incrementally and combined before the shuffle, so
     one hot key or window costs one small row per task. A stream gets a watermark on ``ts`` with
     ``delay_seconds``: in append mode a window comes out when a later batch passes its end, and rows
-    behind the watermark are only counted in the query's metrics (``late`` keeps them instead).
+    behind the watermark are only counted in the query's metrics (``late`` keeps them instead). With
+    ``delay_seconds=None`` windows never close: for update or complete mode.
     """
     if df.isStreaming:
-        df = as_instant(df, ts).withWatermark(ts, f"{delay_seconds} seconds")
+        df = as_instant(df, ts)
+        if delay_seconds is not None:
+            df = df.withWatermark(ts, f"{delay_seconds} seconds")
     return (
         df.groupBy(F.window(ts, f"{seconds} seconds").alias("_w"), *keys)
         .agg(*[column.alias(name) for name, column in aggs.items()])

@@ -177,15 +177,23 @@ def parse_csv_prefix(spark: SparkSession, folder: str) -> DataFrame:
 # --- lookup -----------------------------------------------------------------------------------
 
 
-def priced_lines(spark: SparkSession, folder: str, **limits) -> DataFrame:
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity"
-    )
-    prices = table(spark, folder, "part").where("p_size <= 25")
-    priced = lookup.lookup(
-        lines, prices, "l_partkey", "p_retailprice", dim_key="p_partkey", default=1.0, out="price", **limits
+def priced(lines: DataFrame, parts: DataFrame, **limits) -> DataFrame:
+    """Order lines with the price of their part, 1.0 for parts that have none, and their value."""
+    with_price = lookup.lookup(
+        lines.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity"),
+        parts.where("p_size <= 25"),
+        "l_partkey",
+        "p_retailprice",
+        dim_key="p_partkey",
+        default=1.0,
+        out="price",
+        **limits,
     )
-    return priced.withColumn("subtotal", F.col("l_quantity") * F.col("price"))
+    return with_price.withColumn("subtotal", F.col("l_quantity") * F.col("price"))
+
+
+def priced_lines(spark: SparkSession, folder: str, **limits) -> DataFrame:
+    return priced(table(spark, folder, "lineitem"), table(spark, folder, "part"), **limits)
 
 
 PRICED_SQL = """
@@ -214,23 +222,25 @@ def dimension_lookup_wide(spark: SparkSession, folder: str) -> DataFrame:
 # --- windowed aggregates ----------------------------------------------------------------------
 
 
-@query(
-    f"""
+SALES_SQL = f"""
 SELECT {window_start_sql('l_shipdate', 30 * DAY)} AS window_start, l_partkey AS product,
        sum(subtotal::DECIMAL(18, 2))::DOUBLE AS sales
 FROM ({PRICED_SQL}) GROUP BY ALL
 """
-)
+
+
+def sales(lines: DataFrame, **options) -> DataFrame:
+    # Whole cents add up exactly in any order, and faster than decimals.
+    totals = {"sales": F.sum(F.round(F.col("subtotal") * 100).cast("bigint")) / 100}
+    products = lines.withColumnRenamed("l_partkey", "product")
+    return windows.window_agg(
+        products, "l_shipdate", 30 * DAY, ["product"], totals, **options
+    ).drop("window_end")
+
+
+@query(SALES_SQL)
 def sales_per_window(spark: SparkSession, folder: str) -> DataFrame:
-    sold = windows.window_agg(
-        priced_lines(spark, folder).withColumnRenamed("l_partkey", "product"),
-        "l_shipdate",
-        30 * DAY,
-        ["product"],
-        # Whole cents add up exactly in any order, and faster than decimals.
-        {"sales": F.sum(F.round(F.col("subtotal") * 100).cast("bigint")) / 100},
-    )
-    return sold.drop("window_end")
+    return sales(priced_lines(spark, folder))
 
 
 SENSOR_MAX_SQL = f"""

@@ -80,14 +80,15 @@ def replay_update(stream: DataFrame, keys: Sequence[str], folder: str | None = N
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .outputMode("update")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with rocksdb_state(spark):
+        query = (
+            stream.writeStream.foreachBatch(write)
+            .outputMode("update")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     changes = spark.read.option("basePath", f"{folder}/rows").parquet(f"{folder}/rows")
     values = [c for c in stream.columns if c not in keys]
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows, write_in_turn
 from tallybrook import sinks, sources
-from tallybrook.operators import count_trigger, late, running, tokens, windows
+from tallybrook.operators import count_trigger, late, lookup, parse, running, tokens, windows
 from tallybrook.session import shared_folder
 from tallybrook.streaming import carried
 from tallybrook.streaming.late import split_late_stream
@@ -276,6 +276,31 @@ def test_line_stream_and_fan_out(spark, tmp_path):
     assert rows(spark.read.parquet(f"{out}/counts"), "word", "count") == [("a", 1), ("b", 2), ("c", 1)]
 
 
+def test_order_lines_to_sales(spark, tmp_path):
+    """Text lines, parsed, priced and summed per window, on a stream."""
+    (tmp_path / "orders").mkdir()
+    (tmp_path / "orders" / "a.txt").write_text("s1,towel,2\n\ns2,toothbrush,3\ns3,towel\ns4,soap,4")
+    (tmp_path / "orders" / "b.txt").write_text("s5,towel,3")
+    prices = sources.dimension(spark, {"towel": 10.0, "toothbrush": 5.0})
+    orders = parse.parse_csv_records(
+        sources.line_stream(spark, str(tmp_path / "orders"), maxFilesPerTrigger=1).select(
+            "value", at(F.lit(7)).alias("ts")
+        ),
+        "order_id string, product string, qty int",
+    )
+    priced = lookup.lookup(orders, prices, "product", "price", default=1.0)
+    sales = windows.window_sum(
+        priced.withColumn("subtotal", F.col("qty") * F.col("price")),
+        "ts", 10, ["product"], "subtotal", delay_seconds=None,
+    )
+    got = sinks.replay_update(sales, ["window_start", "product"])
+    assert rows(got, "product", "total") == [("soap", 4.0), ("toothbrush", 15.0), ("towel", 50.0)]
+    large = lookup.lookup(orders, prices, "product", "price", default=1.0, max_broadcast_rows=1)
+    assert rows(sinks.replay_append(large), "order_id", "price") == [
+        ("s1", 10.0), ("s2", 5.0), ("s4", 1.0), ("s5", 10.0),
+    ]
+
+
 def test_random_int_stream(spark, tmp_path):
     numbers = sources.random_int_stream(spark, 1, 3, rows_per_second=50)
     query = start_memory(numbers, "numbers", tmp_path)
