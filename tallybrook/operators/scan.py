@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 1_000_000
+# The most chunks over all keys; fewer when 4 per shuffle partition are fewer.
 MAX_CHUNKS = 4096
 OVERSAMPLE = 16
 
@@ -23,7 +24,7 @@ def with_chunks(
     order: Sequence[str],
     *,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_chunks: int = MAX_CHUNKS,
+    max_chunks: int | None = None,
     n_rows: int | None = None,
 ) -> DataFrame | None:
     """Add ``_chunk``, rising with ``order`` inside each key, and ``_cut`` (the key has chunks).
@@ -32,15 +33,19 @@ def with_chunks(
 
     A fixed hash picks about one row in ``target / 16``; a key with at least 16 such rows is cut at
     every 16th of them. That makes at most about ``max_chunks`` cut points over all keys, which are
-    broadcast; a row finds its chunk by binary search in its key's sorted array.
+    broadcast; a row finds its chunk by binary search in its key's sorted array. By default there are
+    up to 4 chunks per shuffle partition, so a chunk is no larger than other partitions.
     """
+    if max_chunks is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        max_chunks = min(MAX_CHUNKS, max(64, 4 * partitions))
     n = df.count() if n_rows is None else n_rows
     if n <= rows_per_chunk:
         return None
     target = max(rows_per_chunk, -(-n // max_chunks))
     every = max(1, target // OVERSAMPLE)
 
-    position = F.struct(*order)
+    position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     names = [f"_k{i}" for i in range(len(keys))] or ["_k0"]
     columns = [F.col(k) for k in keys] or [F.lit(0)]
     cuts = (
@@ -50,20 +55,18 @@ def with_chunks(
         .where(F.size("_s") >= OVERSAMPLE)
         .select(*names, F.filter("_s", lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1).alias("_cuts"))
     )
-    steps = [1 << b for b in reversed(range((2 * max_chunks).bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(
-            F.get(F.col("_cuts"), at + step - 1) <= position, at + step
-        ).otherwise(at),
-    )
-    joined = df.join(F.broadcast(cuts), _same_keys(keys), "left")
-    return joined.select(
-        *df.columns,
-        F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found).alias("_chunk"),
-        F.col("_cuts").isNotNull().alias("_cut"),
+    found = df.join(F.broadcast(cuts), _same_keys(keys), "left").select(
+        *df.columns, "_cuts", position.alias("_at"), F.lit(0).alias("_chunk")
     )
+    # One projection per step, each using the one before: generated code that reads the broadcast
+    # array in place. A lambda over the steps would copy the array into every row.
+    for bit in reversed(range((2 * max_chunks).bit_length())):
+        probe = F.col("_chunk") + (1 << bit)
+        found = found.withColumn(
+            "_chunk",
+            F.when(F.get("_cuts", probe - 1) <= F.col("_at"), probe).otherwise(F.col("_chunk")),
+        )
+    return found.select(*df.columns, "_chunk", F.col("_cuts").isNotNull().alias("_cut"))
 
 
 def _same_keys(keys: Sequence[str]) -> Column:
@@ -98,7 +101,7 @@ def prefix_scan(
     *,
     include_current: bool = True,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_chunks: int = MAX_CHUNKS,
+    max_chunks: int | None = None,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Add running aggregates over the rows of the same key up to (or before) each row (batch).
