@@ -66,7 +66,9 @@ def with_chunks(
             "_chunk",
             F.when(F.get("_cuts", probe - 1) <= F.col("_at"), probe).otherwise(F.col("_chunk")),
         )
-    return found.select(*df.columns, "_chunk", F.col("_cuts").isNotNull().alias("_cut"))
+    # A generator with one row keeps the optimizer from unfolding the steps into what is above.
+    chunk = F.struct(F.col("_chunk"), F.col("_cuts").isNotNull().alias("_cut"))
+    return found.select(*df.columns, F.inline(F.array(chunk)))
 
 
 def _same_keys(keys: Sequence[str]) -> Column:
