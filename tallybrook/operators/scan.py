@@ -60,7 +60,8 @@ def with_chunks(
     )
     # One projection per step, each using the one before: generated code that reads the broadcast
     # array in place. A lambda over the steps would copy the array into every row.
-    for bit in reversed(range((2 * max_chunks).bit_length())):
+    # Steps for 4 times the expected cut points; beyond that the last chunk would only be larger.
+    for bit in reversed(range((4 * -(-n // target)).bit_length())):
         probe = F.col("_chunk") + (1 << bit)
         found = found.withColumn(
             "_chunk",
