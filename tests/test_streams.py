@@ -149,9 +149,9 @@ def test_late_rows(spark, turns, keys):
     tagged.unpersist()
 
 
-def test_t7_windows_and_revisions(spark, tmp_path):
-    t7 = [(0, 1), (1, 5), (2, 13), (3, 6), (4, 3), (5, 15), (6, 4)]
-    df = spark.createDataFrame(t7, "seq long, s long").select(
+def test_late_windows_and_revisions(spark, tmp_path):
+    arrived = [(0, 1), (1, 5), (2, 13), (3, 6), (4, 3), (5, 15), (6, 4)]
+    df = spark.createDataFrame(arrived, "seq long, s long").select(
         "seq", F.lit("s1").alias("id"), at("s").alias("ts"), F.col("s").alias("value")
     )
     for name, cuts in {"one": [], "some": [2, 3, 5]}.items():
