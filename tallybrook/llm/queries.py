@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybrook.llm import packing
+from tallybrook.llm import metric_tree, packing, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +22,16 @@ def query(fn):
 @query
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, folder, "documents")))
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select(
+        F.col("vec_id").cast("long"), metric_tree.scaled(F.col("embedding")).alias("x")
+    )
+    return metric_tree.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.document_token_counts(table(spark, folder, "documents"))
