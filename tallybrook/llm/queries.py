@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import metric_tree, packing, parity_join, token_files
+from tallybrook.llm import metric_tree, packing, parity_join, suffix_dedup, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.similar_documents(table(spark, folder, "documents"), n=3, num=90, den=100)
+
+
+@query
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
