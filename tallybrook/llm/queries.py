@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import metric_tree, packing, parity_join, recompression, suffix_dedup, token_files
+from tallybrook.llm import metric_tree, packing, parity_join, recompression, sketches, suffix_dedup, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query
+def op1_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.compare_with_edits(table(spark, folder, "documents"))
