@@ -1,6 +1,6 @@
 """Token counts of the documents in flat token files, which have no index: a scan for end ids.
 
-A flat file is one unsigned 32-bit little-endian id after the other, an end id after each document. It
+A flat file is one unsigned 16-bit little-endian id after the other, an end id after each document. It
 is read in blocks of equal size, as many at once as there are tasks. A block's end ids are found with
 one vectorised comparison; a prefix scan over the blocks of a file then says how many documents ended
 before each block, and where the document began that goes on into it.
@@ -21,7 +21,8 @@ from tallybrook.llm.common import chunks, materialize
 from tallybrook.llm.tokens import default_vocabulary, encode
 from tallybrook.session import shared_folder
 
-ID_BYTES = 4
+ID_BYTES = 2  # vocabularies of up to 65,536 ids
+ID = "<u2"
 END_ID = 50256
 
 
@@ -50,7 +51,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
             for whole in batches:
                 for batch in chunks(whole, "text"):
                     for text in batch.column("text"):
-                        out.write(np.append(encode(text.as_py(), path), np.uint32(end_id)).astype("<u4").tobytes())
+                        out.write(np.append(encode(text.as_py(), path), np.uint32(end_id)).astype(ID).tobytes())
                     n = batch.num_rows
                     places = np.arange(ordinal, ordinal + n, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -88,7 +89,7 @@ def count_tokens(spark: SparkSession, folder: str, end_id: int = END_ID, block_b
                 begin, whole = block * per, length // ID_BYTES
                 with store.open_input_file(name) as source:
                     data = source.read_at(min(per, whole * ID_BYTES - begin), begin)
-                ids = np.frombuffer(data, "<u4")
+                ids = np.frombuffer(data, ID)
                 first = begin // ID_BYTES
                 ends = np.flatnonzero(ids == end_id) + first
                 is_open = first + len(ids) == whole and len(ids) and ids[-1] != end_id
