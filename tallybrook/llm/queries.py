@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import metric_tree, packing, parity_join, recompression, sketches, suffix_dedup, token_files
+from tallybrook.llm import metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,15 @@ def op4_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return sketches.compare_with_edits(table(spark, folder, "documents"))
+
+
+@query
+def op5_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, ordinal.graded(table(spark, folder, "labels")), ordinal.GRADES)
+    return ordinal.rate(docs, model).drop("text").withColumn("keep", F.col("p_top") >= 0.5)
+
+
+@query
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("text", "n_chars")
