@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_files
+from tallybrook.llm import line_dedup, metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op5_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("text", "n_chars")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.remove_near_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
