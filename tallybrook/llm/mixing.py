@@ -124,7 +124,7 @@ TARGETS = {
     "lang": dict.fromkeys(("en", "de", "fr", "es"), 0.25),
     "topic": {f"t{k}": 0.125 for k in range(8)},
 }
-POWER = 0.75
+POWER = 0.9
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, power: float | None = POWER) -> DataFrame:
