@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +74,8 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.remove_near_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
