@@ -98,12 +98,12 @@ def string_hashes(names: np.ndarray):
 
 
 def anchored(names: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """For each window: its first word, text, level and number of the symbol, and the symbol's name and place."""
+    """For each window: its first word, text, level and number of the symbol, and the words that that depends on."""
     counts = np.diff(starts)
     at = np.flatnonzero(np.arange(len(names)) + length <= np.repeat(starts[1:], counts))
     text = np.repeat(np.arange(len(counts)), counts)[at]
     level_of, symbol = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-    name, place = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+    low, high = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     todo = np.arange(len(at))
     for number, level in reversed(list(enumerate(levels(names, starts)))):
         if not len(todo):
@@ -124,9 +124,9 @@ def anchored(names: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.nda
             of = size == k
             best[of] = np.minimum(table[a[of]], table[b[of] - (1 << k)])
         best = (best & np.uint64((1 << 32) - 1)).astype(np.int64)
-        level_of[own], symbol[own], name[own], place[own] = number, best, level.name[best], level.low[best]
+        level_of[own], symbol[own], low[own], high[own] = number, best, level.low[best], level.high[best]
         todo = todo[~has]
-    return at, text, level_of, symbol, name, place
+    return at, text, level_of, symbol, low, high
 
 
 def window_segments(length: int):
@@ -134,13 +134,16 @@ def window_segments(length: int):
 
     def find(texts: pa.Array):
         names, starts = word_hashes(texts)
-        at, text, level, symbol, name, place = anchored(names, starts, length)
+        at, text, level, symbol, seen_from, seen_to = anchored(names, starts, length)
         first = repeats.first_per_window(at, symbol * 16 + level, text)
         last = np.append(first[1:], len(at)) - 1 if len(first) else first
         low, high = at[first], at[last]
-        content = string_hashes(names)(low, high + length) + mix((place[first] - low).astype(np.uint64))
+        hashed = string_hashes(names)
+        # All words of the context: a symbol of two common words alone would be met in many places.
+        anchor = mix(hashed(seen_from[first], seen_to[first]) + level[first].astype(np.uint64))
+        content = hashed(low, high + length) + mix((seen_from[first] - low).astype(np.uint64))
         begin = starts[text[first]]
-        return text[first], mix(name[first] + level[first].astype(np.uint64)), content, low - begin, high - begin
+        return text[first], anchor, content, low - begin, high - begin
 
     return find
 
