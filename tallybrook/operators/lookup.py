@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
-SALTS = 256
 
 
 def lookup(
@@ -66,15 +65,18 @@ def _width(df: DataFrame, name: str):
     return F.coalesce(F.octet_length(name), F.lit(0)) + 16 if is_text else F.lit(16)
 
 
-def _wide(df: DataFrame, unique: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
+def _wide(df: DataFrame, unique: DataFrame, key: str) -> DataFrame:
     """Left join with a dimension too large to broadcast.
 
-    Keys with over 1/``max_hot`` of the rows (so fewer than ``max_hot`` of them) get their value from
-    a broadcast of just those dimension rows. In the shuffle join their rows, and rows with a null
-    key, are spread over salts that match nothing; all other keys have salt 0.
+    Keys with more rows than a quarter of a shuffle partition (so fewer than four times as many keys as
+    partitions) get their value from a broadcast of just those dimension rows. In the shuffle join their
+    rows, and rows with a null key, are spread by a hash of the whole row, which matches nothing; all
+    other keys have the salt 0.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    bar = max(1, df.count() // max_hot)
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bar = max(1, (counts.agg(F.sum("_n")).first()[0] or 0) // (4 * partitions))
+    counts = counts.where(F.col(key).isNotNull())
     hot = counts.where(F.col("_n") > bar).select(F.col(key).alias("_hot_key"))
     found = unique.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"))
     hot_values = hot.join(
@@ -86,14 +88,14 @@ def _wide(df: DataFrame, unique: DataFrame, key: str, max_hot: int = 1000) -> Da
         "_salt",
         F.when(
             F.col("_hot_key").isNotNull() | F.col(key).isNull(),
-            1 + F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)),
+            F.xxhash64(*df.columns).bitwiseOR(F.lit(1)),
         ).otherwise(F.lit(0).cast("bigint")),
     )
     # Always 0, but not a literal: the optimizer would fold that and leave the salt out of the keys.
     rest = unique.withColumn("_dim_salt", F.pmod(F.xxhash64("_key"), F.lit(1)))
     return (
         salted.join(
-            rest, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_dim_salt")), "left"
+            rest.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_dim_salt")), "left"
         )
         .withColumn("_value", F.coalesce("_hot_value", "_value"))
     )

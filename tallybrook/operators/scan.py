@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 1_000_000
-# The most chunks over all keys; fewer when 4 per shuffle partition are fewer.
-MAX_CHUNKS = 4096
 OVERSAMPLE = 16
+# Cut points up to this many are broadcast (some 100 bytes each); more are joined by shuffle.
+MAX_BROADCAST_CUTS = 500_000
 
 
 def with_chunks(
@@ -32,22 +32,19 @@ def with_chunks(
     Returns None when the whole input fits one chunk. ``order`` must be unique within a key.
 
     A fixed hash picks about one row in ``target / 16``; a key with at least 16 such rows is cut at
-    every 16th of them. That makes at most about ``max_chunks`` cut points over all keys, which are
-    broadcast; a row finds its chunk by binary search in its key's sorted array. By default there are
-    up to 4 chunks per shuffle partition, so a chunk is no larger than other partitions.
+    every 16th of them. A row finds its chunk by binary search in its key's sorted array. Chunks have
+    about ``rows_per_chunk`` rows however many that makes, unless ``max_chunks`` says how many at most.
+    The cut points are broadcast while they are few by the number of rows, and joined by shuffle beyond.
     """
-    if max_chunks is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        max_chunks = min(MAX_CHUNKS, max(64, 4 * partitions))
     n = df.count() if n_rows is None else n_rows
     if n <= rows_per_chunk:
         return None
-    target = max(rows_per_chunk, -(-n // max_chunks))
+    target = max(rows_per_chunk, -(-n // max_chunks) if max_chunks else 0)
     every = max(1, target // OVERSAMPLE)
 
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     names = [f"_k{i}" for i in range(len(keys))] or ["_k0"]
-    columns = [F.col(k) for k in keys] or [F.lit(0)]
+    columns = [F.col(k) for k in keys] or [_one_key(order)]
     cuts = (
         df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
         .groupBy(*[c.alias(name) for c, name in zip(columns, names)])
@@ -55,7 +52,7 @@ def with_chunks(
         .where(F.size("_s") >= OVERSAMPLE)
         .select(*names, F.filter("_s", lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1).alias("_cuts"))
     )
-    found = df.join(F.broadcast(cuts), _same_keys(keys), "left").select(
+    found = df.join(_few(cuts, n // target), _same_keys(keys, order), "left").select(
         *df.columns, "_cuts", position.alias("_at"), F.lit(0).alias("_chunk")
     )
     # One projection per step, each using the one before: generated code that reads the broadcast
@@ -72,9 +69,18 @@ def with_chunks(
     return found.select(*df.columns, F.inline(F.array(chunk)))
 
 
-def _same_keys(keys: Sequence[str]) -> Column:
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST_CUTS else df
+
+
+def _one_key(order: Sequence[str]) -> Column:
+    """Always 0, but not a literal: the optimizer would leave it out, and the join would have no key."""
+    return F.pmod(F.xxhash64(*order), F.lit(1))
+
+
+def _same_keys(keys: Sequence[str], order: Sequence[str]) -> Column:
     if not keys:
-        return F.lit(0) == F.col("_k0")
+        return _one_key(order) == F.col("_k0")
     match = F.lit(True)
     for i, k in enumerate(keys):
         match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
@@ -120,6 +126,7 @@ def prefix_scan(
         for name, (how, column) in outputs.items()
     }
     last_row = Window.currentRow if include_current else -1
+    n_rows = df.count() if n_rows is None else n_rows
     chunked = with_chunks(
         df, keys, order, rows_per_chunk=rows_per_chunk, max_chunks=max_chunks, n_rows=n_rows
     )
@@ -135,7 +142,7 @@ def prefix_scan(
     )
     here = chunked.withColumns({n: _local(how, c).over(frame) for n, (how, c) in outputs.items()})
 
-    key_columns = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)] or [F.lit(0).alias("_k0")]
+    key_columns = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)] or [_one_key(order).alias("_k0")]
     key_names = [f"_k{i}" for i in range(len(key_columns))]
     totals = (
         chunked.where("_cut")
@@ -147,7 +154,7 @@ def prefix_scan(
             ]
         )
     )
-    # One row per chunk, so at most about 2 * max_chunks rows in all.
+    # One row per chunk.
     before = (
         Window.partitionBy(*key_names).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -161,7 +168,7 @@ def prefix_scan(
         ],
     )
     joined = here.join(
-        F.broadcast(carried), _same_keys(keys) & (F.col("_chunk") == F.col("_c")), "left"
+        _few(carried, n_rows // rows_per_chunk), _same_keys(keys, order) & (F.col("_chunk") == F.col("_c")), "left"
     )
     combined = joined.select(
         *df.columns,

@@ -26,7 +26,7 @@ def window_agg(
     keys: Sequence[str],
     aggs: dict[str, Column],
     *,
-    delay_seconds: int | None = 0,
+    delay_seconds: int | None | str = "unset",
 ) -> DataFrame:
     """``window_start, window_end, *keys, *aggs``; ``keys=[]`` gives one group per window.
 
@@ -34,9 +34,11 @@ def window_agg(
     one hot key or window costs one small row per task. A stream gets a watermark on ``ts`` with
     ``delay_seconds``: in append mode a window comes out when a later batch passes its end, and rows
     behind the watermark are only counted in the query's metrics (``late`` keeps them instead). With
-    ``delay_seconds=None`` windows never close: for update or complete mode.
+    ``delay_seconds=None`` windows never close: for update or complete mode. A stream has to say which.
     """
     if df.isStreaming:
+        if delay_seconds == "unset":
+            raise ValueError("a stream needs delay_seconds: how late its rows may be, or None for windows that stay open")
         df = as_instant(df, ts)
         if delay_seconds is not None:
             df = df.withWatermark(ts, f"{delay_seconds} seconds")

@@ -181,7 +181,7 @@ def priced(lines: DataFrame, parts: DataFrame, **limits) -> DataFrame:
     """Order lines with the price of their part, 1.0 for parts that have none, and their value."""
     with_price = lookup.lookup(
         lines.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity"),
-        parts.where("p_size <= 25"),
+        parts,
         "l_partkey",
         "p_retailprice",
         dim_key="p_partkey",
@@ -199,7 +199,7 @@ def priced_lines(spark: SparkSession, folder: str, **limits) -> DataFrame:
 PRICED_SQL = """
 SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, coalesce(p_retailprice, 1.0) AS price,
        l_quantity * coalesce(p_retailprice, 1.0) AS subtotal
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 """
 LOOKUP_SQL = f"SELECT l_orderkey, l_linenumber, l_partkey, price, subtotal FROM ({PRICED_SQL})"
 
@@ -219,6 +219,13 @@ def dimension_lookup_wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("SELECT doc_id, coalesce(quality, -1) AS quality FROM documents LEFT JOIN labels USING (doc_id)")
+def label_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The rating of each document, -1 for those without one."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    return lookup.lookup(docs, table(spark, folder, "labels"), "doc_id", "quality", default=-1)
+
+
 # --- windowed aggregates ----------------------------------------------------------------------
 
 
@@ -543,9 +550,14 @@ def drawn(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+DRAWN_SQL = """
+SELECT event_id, ts, (1 + ('0x' || substr(md5(event_id || '|7'), 1, 8))::BIGINT % 10)::INT AS v FROM events
+"""
+
+
+@query(f"SELECT event_id, v FROM ({DRAWN_SQL})")
 def random_ints(spark: SparkSession, folder: str) -> DataFrame:
-    """One draw of 1..10 per event. The hash has no twin in the checking engine: rows only."""
+    """One draw of 1..10 per event."""
     return drawn(spark, folder).select("event_id", "v")
 
 

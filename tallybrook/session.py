@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -33,22 +32,12 @@ def build_session(app: str = "tallybrook", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, unique to this call.
 
-    The setting is the cluster's. Only a local master without it gets a folder of its own.
+    The setting is the cluster's. Without it the folder lies in the warehouse, which is shared as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        if context.applicationId not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallybrook-")
-        root = _LOCAL_ROOTS[context.applicationId]
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallybrook import sources
 from tallybrook.session import rocksdb_state, shared_folder
 
 
@@ -16,9 +17,12 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = " ", mode: str = "er
     df.write.mode(mode).option("sep", sep).option("header", False).csv(path)
 
 
-def print_stream(df: DataFrame, checkpoint: str, *, mode: str = "append", name: str | None = None) -> StreamingQuery:
-    """Show every batch on the driver's console (for trials: console output is truncated)."""
+def print_stream(
+    df: DataFrame, checkpoint: str, *, mode: str = "append", name: str | None = None, num_rows: int = 2**31 - 1, truncate: bool = False
+) -> StreamingQuery:
+    """Show every row of every batch on the driver's console, or ``num_rows`` of it."""
     writer = df.writeStream.format("console").outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = writer.option("numRows", num_rows).option("truncate", truncate)
     with rocksdb_state(df.sparkSession):
         return (writer.queryName(name) if name else writer).start()
 
@@ -49,6 +53,37 @@ def fan_out(
         )
 
 
+def replay_slices(
+    df: DataFrame, by: str, replay: Callable[[DataFrame, str], DataFrame], slices: int = 4, ts: str | None = None
+) -> DataFrame:
+    """Give a table to a stream slice by slice, in the order of ``by``, and return what ``replay`` last returned.
+
+    ``replay(stream, folder)`` runs the stream over what is there now and goes on where it stopped in that
+    folder, as all replays here do. Each slice is one batch, whatever its size and however many files it
+    has, and rows with equal ``by`` are never parted. Nulls come first.
+    """
+    spark = df.sparkSession
+    position = F.unix_micros(F.col(by).cast("timestamp")) if dict(df.dtypes)[by].startswith("timestamp") else F.col(by)
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    bounds = df.agg(F.percentile_approx(position, shares).alias("b")).first()["b"] or []
+    edges = [None, *bounds, None]
+    folder = shared_folder(spark, "slices")
+    rows = None
+    for low, high in zip(edges, edges[1:]):
+        # Nulls are in the first slice only.
+        after = F.lit(True) if low is None else position > low
+        until = F.lit(True) if high is None else (position <= high) | (position.isNull() & F.lit(low is None))
+        df.where(after & until).write.mode("append").parquet(f"{folder}/in")
+        rows = replay(sources.table_stream(spark, f"{folder}/in", ts), f"{folder}/replay")
+    return rows
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a replay's folder, once nothing reads its rows any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def replay_append(stream: DataFrame, folder: str | None = None) -> DataFrame:
     """Run a stream over all input there is now, in append mode, and return what it wrote.
 

@@ -40,6 +40,7 @@ def table_stream(spark: SparkSession, path: str, ts: str | None = None, **option
 
     ``path`` may be one file or a folder of part files.
     """
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
     # A file source given one file by name takes it for a base folder; a pattern works for both.
     stream = spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
@@ -49,11 +50,13 @@ def table_stream(spark: SparkSession, path: str, ts: str | None = None, **option
 def random_int(id: Column, low: int, high: int, seed: int = 0) -> Column:
     """A uniform integer of ``[low, high]``, both included, drawn from a row's id and the seed.
 
-    A hash of the id, so a retried task draws the same numbers.
+    From the MD5 of "id|seed", so a retried task draws the same numbers, and other engines do too.
     """
     if low > high:
         raise ValueError(f"low {low} is above high {high}")
-    return (F.lit(low) + F.pmod(F.xxhash64(id, F.lit(seed)), F.lit(high - low + 1))).cast("int")
+    digest = F.md5(F.concat_ws("|", id.cast("string"), F.lit(str(seed))).cast("binary"))
+    drawn = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return (F.lit(low) + F.pmod(drawn, F.lit(high - low + 1))).cast("int")
 
 
 def random_ints(spark: SparkSession, n: int, low: int = 1, high: int = 10, *, seed: int = 0) -> DataFrame:

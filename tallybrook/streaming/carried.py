@@ -13,12 +13,15 @@ within a key. After a failure a batch runs again and replaces what it wrote.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.functions.times import epoch_micros, seconds_interval
+from tallybrook.operators import running
 from tallybrook.operators.scan import prefix_scan
 from tallybrook.operators.windows import with_window
 from tallybrook.session import shared_folder
@@ -207,6 +210,27 @@ def split_late_carried(
     return replay_carried(stream, step, carry, folder)
 
 
+def top_k_carried(
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, k: int, folder: str | None = None
+) -> DataFrame:
+    """Rows that are among their key's ``k`` largest after their batch: ``*keys, *order, amount, rank``.
+
+    Ranked as by ``running.top_k``: nulls last, ties by ``order``. The final top k are among them. The k rows of
+    each key are carried, and tasks keep only k rows of a key before the shuffle.
+    """
+    names = list(dict.fromkeys([*keys, *order, amount]))
+    best = [F.col(amount).desc(), *map(F.col, order)]
+
+    def step(batch: DataFrame, carried: DataFrame | None) -> DataFrame:
+        rows = batch.select(*names)
+        return running.top_k(rows if carried is None else rows.unionByName(carried), keys, best, k)
+
+    def carry(rows: DataFrame, carried: DataFrame | None) -> DataFrame:
+        return rows.select(*names)  # carried keys without new rows are among them
+
+    return replay_carried(stream, step, carry, folder)
+
+
 def count_trigger_carried(
     stream: DataFrame,
     ts: str,
@@ -216,12 +240,20 @@ def count_trigger_carried(
     order: Sequence[str],
     *,
     keys: Sequence[str] = (),
+    echo: bool = False,
+    emit_remainder: bool = False,
+    expire_seconds: int | None = None,
     folder: str | None = None,
     **scan,
 ) -> DataFrame:
     """Twin of ``count_trigger.count_trigger_sums``: ``window_start, window_end, *keys, firing, total, n``.
 
-    A firing comes out in the batch that brings its k-th row.
+    A firing comes out in the batch that brings its k-th row. With ``echo`` there is a first column
+    ``kind``: ``sum``, or ``input`` for each row with its firing, its value and 1. With
+    ``emit_remainder`` the rows after a window's last firing come out too, as many as have come by the
+    last batch. A batch writes only groups that have rows in it. The carried table keeps a row for each
+    window and key; windows that ended ``expire_seconds`` before the latest one are dropped from it, and
+    rows that still come for them start the window anew.
     """
     group = ["window_start", "window_end", *keys]
     total_type = _total_type(stream.schema[value].dataType)
@@ -231,36 +263,55 @@ def count_trigger_carried(
         live = with_window(needed, ts, seconds).select(
             *group, *order, F.col(value).cast(total_type).alias("_v"), F.lit(1).cast("bigint").alias("_one")
         )
+        if carried is not None:
+            # Only what goes on in this batch joins in.
+            here = live.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]).distinct()
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
+            carried = carried.join(here, same, "left_semi")
         rows = _with_past(live, carried, _one="seen", _v="open_total")
-        numbered = prefix_scan(
-            rows, group, ["_live", *order], {"_rn": ("sum", F.col("_one"))}, **scan
-        )
+        numbered = prefix_scan(rows, group, ["_live", *order], {"_rn": ("sum", F.col("_one"))}, **scan)
         # A carried row stands for the `seen % k` rows of the firing that is still open.
         is_past = F.col("_live") == 0
         firing = F.when(is_past, F.call_function("div", F.col("_rn"), F.lit(k))).otherwise(
             F.call_function("div", F.col("_rn") - 1, F.lit(k))
         )
-        return (
-            numbered.select(
-                *group,
-                firing.alias("firing"),
-                "_v",
-                F.when(is_past, F.pmod("_rn", F.lit(k))).otherwise(F.lit(1)).alias("_n"),
-            )
-            .groupBy(*group, "firing")
-            .agg(F.sum("_v").cast(total_type).alias("total"), F.sum("_n").alias("n"))
+        placed = numbered.select(
+            *group,
+            "_live",
+            firing.alias("firing"),
+            "_v",
+            F.when(is_past, F.pmod("_rn", F.lit(k))).otherwise(F.lit(1)).alias("_n"),
         )
+        sums = placed.groupBy(*group, "firing").agg(F.sum("_v").cast(total_type).alias("total"), F.sum("_n").alias("n"))
+        out = sums.where("n > 0").select(F.lit("sum").alias("kind"), *group, "firing", "total", "n")
+        if echo:
+            inputs = placed.where("_live = 1").select(
+                F.lit("input").alias("kind"), *group, "firing", F.col("_v").alias("total"), F.lit(1).cast("bigint").alias("n")
+            )
+            out = out.unionByName(inputs)
+        return out
 
     def carry(rows: DataFrame, carried: DataFrame | None) -> DataFrame:
-        # Every group seen so far has a row in each batch: its carried row, if nothing else.
-        last = rows.groupBy(*group).agg(F.max_by(F.struct("firing", "total", "n"), "firing").alias("_t"))
-        return last.select(
+        last = rows.where("kind = 'sum'").groupBy(*group).agg(F.max_by(F.struct("firing", "total", "n"), "firing").alias("_t"))
+        new = last.select(
             *group,
             (F.col("_t.firing") * k + F.col("_t.n")).alias("seen"),
-            F.when(F.col("_t.n") < k, F.col("_t.total"))
-            .otherwise(F.lit(0))
-            .cast(total_type)
-            .alias("open_total"),
+            F.when(F.col("_t.n") < k, F.col("_t.total")).cast(total_type).alias("open_total"),
         )
-
-    return replay_carried(stream, step, carry, folder).where(F.col("n") == k)
+        both = new if carried is None else new.unionByName(carried)
+        # Of a group in both, the new one has seen more.
+        kept = both.groupBy(*group).agg(F.max_by(F.struct("seen", "open_total"), "seen").alias("_t"))
+        kept = kept.select(*group, "_t.seen", "_t.open_total")
+        if expire_seconds is None:
+            return kept
+        latest = both.agg(F.max("window_end")).first()[0]
+        return kept if latest is None else kept.where(F.col("window_end") + seconds_interval(expire_seconds) >= F.lit(latest))
+
+    rows = replay_carried(stream, step, carry, folder)
+    whole = rows.where((F.col("n") == k) | (F.col("kind") == "input"))
+    if emit_remainder:
+        # What is left of a window is its last firing, in the batch that had most of it.
+        last = rows.where("kind = 'sum'").groupBy(*group, "firing").agg(F.max_by(F.struct("total", "n"), "n").alias("_t"))
+        rest = last.where(F.col("_t.n") < k).select(F.lit("sum").alias("kind"), *group, "firing", "_t.total", "_t.n")
+        whole = whole.unionByName(rest)
+    return whole if echo else whole.drop("kind")

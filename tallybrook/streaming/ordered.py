@@ -119,7 +119,7 @@ class _PairFlag(StatefulProcessor):
                 before is not None and before < self.small and amount is not None and amount > self.large
             )
             if flagged and self.gap_us is not None:
-                flagged = us - before_us <= self.gap_us
+                flagged = us is not None and before_us is not None and us - before_us <= self.gap_us
             yield self.row(*[row[c] for c in self.names], flagged)
             before, before_us = amount, us
         self.state.update((before, before_us))
@@ -150,27 +150,32 @@ def flag_small_then_large_stream(
 
 
 class _TopK(StatefulProcessor):
-    def __init__(self, names, order, amount, k):
-        self.names, self.order, self.amount, self.k = names, order, amount, k
+    def __init__(self, names, order, amount, k, held):
+        self.names, self.order, self.amount, self.k, self.held = names, order, amount, k, held
 
     def init(self, handle) -> None:
-        self.state = handle.getListState("best", "amount double")
+        self.state = handle.getListState("best", self.held)
+
+    def place(self, amount, position) -> tuple:
+        """Sorts the largest amount first, NaN before all and null after all, then by position with nulls first."""
+        known = amount is not None
+        kind = 2 if not known else 0 if amount != amount else 1
+        return kind, -amount if kind == 1 else 0.0, [(p is not None, p) for p in position]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # Negated and ascending: an equal later amount goes behind the earlier ones.
-        best = sorted(-amount for (amount,) in self.state.get())
+        held = [(self.place(amount, position), amount, tuple(position)) for amount, *position in self.state.get()]
+        best = sorted(held, key=lambda entry: entry[0])
         changed = False
         for row in in_order(rows, self.order):
-            if row[self.amount] is None:
-                continue
-            at = bisect.bisect_right(best, -row[self.amount])
+            amount, position = row[self.amount], tuple(row[o] for o in self.order)
+            at = bisect.bisect_right([entry[0] for entry in best], self.place(amount, position))
             if at < self.k:
-                best.insert(at, -row[self.amount])
+                best.insert(at, (self.place(amount, position), amount, position))
                 del best[self.k :]
                 changed = True
                 yield self.row(*[row[c] for c in self.names], at + 1)
         if changed:
-            self.state.put([(-amount,) for amount in best])
+            self.state.put([(amount, *position) for _, amount, position in best])
 
     def close(self) -> None:
         pass
@@ -182,9 +187,12 @@ def top_k_stream(
     """Rows that are among their key's ``k`` largest when they arrive, with their ``rank`` then.
 
     ``*keys, *order, amount, rank``. The final top k of each key are among them: ``running.top_k``
-    over the output gives it.
+    over the output gives it. Equal amounts rank by ``order`` and nulls last, as in that, whichever batch
+    they come in.
     """
     names = list(dict.fromkeys([*keys, *order, amount]))
     needed = df.select(*names)
     needed = needed.withColumn(amount, F.col(amount).cast("double"))
-    return fold_keys(needed, keys, _TopK(names, list(order), amount, k), names, "rank int")
+    plain = timestamps_as_micros(needed)
+    held = T.StructType([T.StructField("amount", T.DoubleType()), *[plain.schema[o] for o in order]])
+    return fold_keys(needed, keys, _TopK(names, list(order), amount, k, held), names, "rank int")

@@ -25,7 +25,7 @@ class _CountTrigger(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.state.get()
-        firing, n, total = held or (0, 0, 0)
+        firing, n, total = held or (0, 0, None)
         for row in in_order(rows, self.order):
             if held is None and self.clear_at_end:
                 held = (firing, n, total)
@@ -33,14 +33,15 @@ class _CountTrigger(StatefulProcessor):
             value = row[self.value]
             if self.echo:
                 yield self.row(*key, "input", firing, value, 1)
-            n, total = n + 1, total + (value or 0)
+            n = n + 1
+            total = value if total is None else total if value is None else total + value
             if n == self.k:
                 yield self.row(*key, "sum", firing, total, n)
-                firing, n, total = firing + 1, 0, 0
+                firing, n, total = firing + 1, 0, None
         self.state.update((firing, n, total))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        firing, n, total = self.state.get() or (0, 0, 0)
+        firing, n, total = self.state.get() or (0, 0, None)
         self.state.clear()
         if n and self.emit_remainder:
             yield self.row(*key, "sum", firing, total, n)
@@ -107,9 +108,9 @@ class _IdleWindow(StatefulProcessor):
                 held = (row["n"], row["total"], row["largest"])
                 self.handle.registerTimer(row["_end_ms"])
             else:
-                held = (
-                    held[0] + row["n"], held[1] + row["total"], max(held[2], row["largest"])
-                )
+                # NaN is the largest, as in the built-in maximum.
+                largest = max((held[2], row["largest"]), key=lambda v: (v != v, v))
+                held = (held[0] + row["n"], held[1] + row["total"], largest)
         self.state.update(held)
         return iter(())
 
@@ -146,8 +147,12 @@ def window_agg_when_idle(
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            grouped = batch.groupby([*names, "_end_ms"], dropna=False, sort=False)["_v"]
-            yield grouped.agg(n="size", total="sum", largest="max").reset_index()
+            # pandas would skip NaN, which makes a sum and a maximum NaN.
+            batch["_nan"] = batch["_v"].isna()
+            grouped = batch.groupby([*names, "_end_ms"], dropna=False, sort=False)
+            out = grouped.agg(n=("_v", "size"), total=("_v", "sum"), largest=("_v", "max"), nan=("_nan", "any")).reset_index()
+            out.loc[out["nan"], ["total", "largest"]] = float("nan")
+            yield out.drop(columns="nan")
 
     return fold_keys(
         needed.mapInPandas(combine, combined), names, _IdleWindow(), names, totals, "processingTime"
