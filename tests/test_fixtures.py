@@ -18,11 +18,11 @@ def fixture(heading: str) -> list[str]:
 
 
 def test_word_count(spark):
-    counts = dict(rows(tokens.word_count(lines(spark, *fixture("### words")))))
-    assert sum(counts.values()) == 39 and len(counts) == 33
-    assert sorted(n for n in counts.values() if n > 1) == [2, 2, 2, 2, 3]
-    assert (counts["and"], counts["at"], counts["computations"], counts["in"]) == (3, 2, 2, 2)
-    assert counts["in"] == counts["memory"] + 1
+    text = ["The grey heron stood; the heron waited.", "Waited, and waited: grey water, grey sky!", "", "42 herons"]
+    assert rows(tokens.word_count(lines(spark, *text))) == [
+        ("42", 1), ("and", 1), ("grey", 3), ("heron", 2), ("herons", 1), ("sky", 1), ("stood", 1), ("the", 2),
+        ("waited", 3), ("water", 1),
+    ]
 
 
 def test_running_letter_count(spark):

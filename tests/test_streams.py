@@ -331,3 +331,100 @@ def test_shared_folder(spark):
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert one != two and "/x-" in one and (not root or one.startswith(root))
+
+
+# --- edges: the same in batches as at rest --------------------------------------------------------
+
+EDGES = [
+    # seq, card, ts, cents: ties over batches, nulls and NaN
+    (10, 1, 10, 7.0), (11, 1, 11, 7.0), (12, 1, 12, 7.0), (13, 2, 13, None), (14, 2, 14, 7.0),
+    (15, 3, None, 50.0), (16, 3, 16, 300.0), (17, 4, 17, float("nan")), (18, 4, 18, 1.0),
+    (1, 1, 19, 7.0), (2, 2, 20, None), (3, 3, 21, 60.0), (4, 3, None, 300.0), (5, 4, 22, 2.0), (6, 5, 23, None),
+]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(EDGES)], "at long, seq long, card long, second long, cents double")
+    return df.withColumn("ts", at(F.col("second"))).drop("second")
+
+
+def test_top_k_ties_and_nulls(spark, edges):
+    best = [F.col("cents").desc(), F.col("seq")]
+    want = running.top_k(edges, ["card"], best, 3)
+    keyed = sinks.replay_slices(edges, "at", lambda s, f: sinks.replay_append(top_k_stream(s, ["card"], ORDER, "cents", 3), f))
+    by_batch = sinks.replay_slices(edges, "at", lambda s, f: carried.top_k_carried(s, ["card"], ORDER, "cents", 3, f))
+    for got in (keyed, by_batch):
+        final = running.top_k(got.drop("rank").distinct(), ["card"], best, 3)
+        assert rows(final, "card", "seq", "rank") == rows(want, "card", "seq", "rank")
+
+
+def test_pair_flags_with_null_times(spark, edges):
+    rule = dict(small=100, large=200, ts="ts", max_gap_seconds=9)
+    numbered = edges.withColumn("seq", F.col("at"))
+    want = running.flag_small_then_large(numbered, ["card"], ORDER, "cents", **rule)
+    keyed = sinks.replay_slices(
+        numbered, "at", lambda s, f: sinks.replay_append(flag_small_then_large_stream(s, ["card"], ORDER, "cents", **rule), f)
+    )
+    assert rows(keyed, "seq", "flagged") == rows(want, "seq", "flagged")
+
+
+def test_trigger_of_nulls(spark, edges):
+    numbered = edges.withColumn("seq", F.col("at")).withColumn("v", F.when(F.col("seq") > 7, F.col("seq")))
+    columns = ["window_start", "firing", "total", "n"]
+    numbered = numbered.withColumn("ts", at(F.lit(1)))
+    want = count_trigger.count_trigger_sums(numbered, "ts", 60, "v", 2, ORDER)
+    assert want.where("total IS NULL").count() > 0
+    for replay in (
+        lambda s, f: sinks.replay_append(count_trigger_stream(s, "ts", 60, "v", 2, ORDER), f),
+        lambda s, f: carried.count_trigger_carried(s, "ts", 60, "v", 2, ORDER, folder=f),
+    ):
+        assert rows(sinks.replay_slices(numbered, "at", replay), *columns) == rows(want, *columns)
+
+
+def test_batches_do_not_grow_with_earlier_windows(spark, tmp_path):
+    df = spark.range(600).select("id", at(F.col("id") * 2).alias("ts"), F.lit(1).alias("v"))
+    folder = str(tmp_path / "trigger")
+    replay = lambda s, _: carried.count_trigger_carried(s, "ts", 60, "v", 7, ["id"], folder=folder, expire_seconds=60)
+    sinks.replay_slices(df, "id", replay, 6)
+    written = [r["count"] for r in spark.read.parquet(f"{folder}/rows").groupBy("batch").count().orderBy("batch").collect()]
+    assert len(written) == 6 and max(written) < 1.5 * min(written)
+    carried_on = [spark.read.parquet(f"{folder}/carried/slot={k}").count() for k in range(3)]
+    assert max(carried_on) < 10
+
+
+def test_slices_of_a_table_of_many_files(spark, tmp_path):
+    """Unordered files and several batches give what the table at rest gives."""
+    events(spark).repartition(5, F.hash("seq")).write.parquet(str(tmp_path / "events"))
+    table = spark.read.parquet(str(tmp_path / "events"))
+    batches = []
+
+    def replay(source, folder):
+        batches.append(folder)
+        return carried.running_carried(source, ["card"], ORDER, "cents", folder)
+
+    got = sinks.replay_slices(table, "seq", replay, 5)
+    want = running.running_total(running.running_count(events(spark), ["card"], ORDER), ["card"], ORDER, "cents")
+    assert len(batches) == 5 and len(set(batches)) == 1
+    assert rows(got, "card", "seq", "n", "total") == rows(want, "card", "seq", "n", "total")
+
+
+def test_a_stream_has_to_say_how_late_its_rows_may_be(spark, turns):
+    with pytest.raises(ValueError):
+        windows.window_count(stream(spark, turns), "ts", 10, ["card"])
+
+
+def test_print_shows_every_row(spark, turns, tmp_path, capfd):
+    query = sinks.print_stream(stream(spark, turns).select("seq").withColumn("text", F.lit("long " * 10)), str(tmp_path / "c"))
+    query.processAllAvailable()
+    query.stop()
+    time.sleep(1)  # the JVM writes by itself
+    shown = capfd.readouterr().out
+    assert shown.count("|long long") + shown.count(" long long") >= 200 and "only showing" not in shown
+
+
+def test_removed_folder(spark, tmp_path):
+    path = f"file://{tmp_path}/gone"
+    spark.range(1).write.parquet(path)
+    sinks.remove_folder(spark, path)
+    assert not (tmp_path / "gone").exists()
