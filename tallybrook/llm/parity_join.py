@@ -20,15 +20,18 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallybrook.llm.common import chunks, materialize
+from tallybrook.llm.common import chunks, groups_of, materialize
 from tallybrook.llm.components import components
 from tallybrook.llm.words import mix, shingle_sets
 
+TILE = 512  # members of a group that a task compares with as many others
 WIDTH = 1 << 20  # bits of a block; only those that are set are kept
 SKETCH = "doc_id long, n_shingles long, node long, keys array<bigint>"
 
@@ -93,42 +96,153 @@ def sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sketch, SKETCH)
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar, from the texts of one document of each node."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = nodes.join(wanted, "node").select("node", "doc_id")
-    texts = materialize(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(chosen, "doc_id")
-        .dropDuplicates(["node"]),
-        "texts",
-    )
+def _verified(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``pairs`` (a, b and more) with ``linked``: whether the sets of the two nodes' texts are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text_b"):
                 left, code = np.unique(batch.column("a").to_numpy(), return_index=True)
                 ours = dict(zip(left.tolist(), shingle_sets(batch.column("text_a").take(pa.array(code)), n)))
-                kept = []
-                for i, (a, theirs) in enumerate(zip(batch.column("a").to_pylist(), shingle_sets(batch.column("text_b"), n))):
+                linked = []
+                for a, theirs in zip(batch.column("a").to_pylist(), shingle_sets(batch.column("text_b"), n)):
                     both = len(np.intersect1d(ours[a], theirs, assume_unique=True))
-                    kept.append(den * both >= num * (len(ours[a]) + len(theirs) - both))
-                yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+                    linked.append(den * both >= num * (len(ours[a]) + len(theirs) - both))
+                yield batch.drop_columns(["text_a", "text_b"]).append_column("linked", pa.array(linked, pa.bool_()))
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    rows = pairs.join(one, "a").join(two, "b").select(*pairs.columns, "text_a", "text_b")
+    return rows.mapInArrow(compare, T.StructType([*pairs.schema.fields, T.StructField("linked", T.BooleanType())]))
+
+
+def _parities(members: np.ndarray) -> bytes:
+    """A parity sketch of 32 to 64 bits for each member."""
+    width = max(64, 1 << (32 * len(members) - 1).bit_length())
+    held = np.bincount((mix(members) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((held & 1).astype(np.uint8)).tobytes()
+
+
+def _described(texts: DataFrame, n: int, whole: bool) -> DataFrame:
+    """node, size and held: the parity sketch of the text's set, or the ``whole`` set."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for full in batches for part in chunks(full, "text")):
+            sets = shingle_sets(batch.column("text"), n)
+            held = [s.tobytes() if whole else _parities(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(held, pa.binary())],
+                names=["node", "size", "held"],
+            )
+
+    return texts.select("node", "text").mapInArrow(describe, "node long, size long, held binary")
+
+
+def _folded(bits: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of ``width`` bytes: the parts of a wider one are added without carry."""
+    out = np.zeros((len(bits), width // 8), np.uint64)
+    for i, b in enumerate(bits):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), axis=0)
+    return out
+
+
+def propose(rows: pd.DataFrame, num: int, den: int, whole: bool) -> list[tuple[int, int]]:
+    """Pairs of nodes of different components that may be similar by their sketches, or are by their sets.
+
+    ``rows`` has node, component, size and held, a sketch or the ``whole`` set. The pairs are a forest: if all
+    of them link, every other pair that may link is connected too.
+    """
+    rows = rows.drop_duplicates("node").sort_values("node")
+    if len(rows) < 2:
+        return []
+    node, size, held = rows["node"].tolist(), rows["size"].to_numpy(np.int64), rows["held"].tolist()
+    sets = [np.frombuffer(h, np.uint64) for h in held] if whole else None
+    bits = [_parities(s) for s in sets] if whole else held
+    sketch = _folded(bits, min(map(len, bits)))
+    label = np.unique(rows["component"], return_inverse=True)[1]
+    found = []
+    for i in range(len(node) - 1):
+        later = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        if not len(later):
+            continue
+        fits = den * np.minimum(size[later], size[i]) >= num * np.maximum(size[later], size[i])
+        later = later[fits]
+        apart = np.bitwise_count(sketch[later] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+        later = later[apart * (den + num) <= (den - num) * (size[later] + size[i])]
+        for j in later.tolist():
+            if label[j] == label[i]:
+                continue
+            if whole:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if den * both < num * (size[i] + size[j] - both):
+                    continue
+            found.append((node[i], node[j]))
+            label[label == label[j]] = label[i]
+    return found
+
+
+def _rest(groups: DataFrame, found: DataFrame, held: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
+    """Proposed pairs (group, a, b) among the members of each group that are not connected yet.
+
+    The members outside the component of the group's pivot are dealt to tiles of bounded size, and so are
+    those inside. Two tiles of outside ones meet once, and each meets every inside one; a task never
+    holds more than a few tiles, and pairs are compared inside it without being rows.
+    """
+    of = found.select("node", "component")
+    pivot = of.select(F.col("node").alias("group"), F.col("component").alias("of_pivot"))
+    named = (
+        groups.join(of, "node", "left")
+        .join(pivot, "group", "left")
+        .select(
+            "group", "node", F.coalesce("component", "node").alias("component"),
+            (F.coalesce("component", "node") != F.coalesce("of_pivot", "group")).alias("outside"),
+        )
+    )
+    tiles = named.groupBy("group").agg(
+        F.ceil(F.count_if("outside") / TILE).cast("long").alias("n_out"), F.ceil(F.count_if(~F.col("outside")) / TILE).cast("long").alias("n_in")
+    )
+    own = named.join(tiles.where("n_out > 0"), "group").withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in")))
+    )
+    # A tile is named by two numbers: those of two outside ones, or of an outside one and an inside one after them all.
+    meets = F.when(
+        F.col("outside"),
+        F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("n_out") + F.col("n_in") - 1),
+            lambda t: F.struct(F.least(t, "own").alias("i"), F.greatest(t, "own").alias("j")),
+        ),
+    ).otherwise(
+        F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("n_out") - 1),
+            lambda t: F.struct(t.alias("i"), (F.col("n_out") + F.col("own")).alias("j")),
+        )
+    )
+    dealt = own.withColumn("tile", F.explode(meets)).select("group", "tile.i", "tile.j", "node", "component")
+    dealt = materialize(dealt, "tiles")
+    buckets = groups_of(dealt.count(), 2 * TILE)
+
+    def pick(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (group, _, _), tile in part.groupby(["group", "i", "j"], sort=False):
+            out += [(group, a, b) for a, b in propose(tile, num, den, whole)]
+        return pd.DataFrame(out, columns=["group", "a", "b"])
+
+    bucket = F.pmod(F.xxhash64("group", "i", "j"), F.lit(buckets))
+    rows = dealt.join(held, "node").groupBy(bucket.alias("bucket"))
+    return rows.applyInPandas(pick, "group long, a long, b long")
 
 
 def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of each row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text).
 
     Two documents link if their sets of ``n`` words have a Jaccard similarity of ``num / den`` or more;
     A-Z is lower-cased. component_id is the smallest doc_id that links reach. A null text, and one
-    without words, links with nothing. Copies are one node, not pairs. Of the candidates of a shared
-    block, first all are compared with its smallest node, then those with the largest node which are
-    not connected yet, and what is still not connected with every other: no link that connects two
-    components is lost. Rows of the same doc_id count as documents of their own with one number.
+    without words, links with nothing. Copies are one node, not pairs. The candidates of a block are
+    a group around its smallest node. First all are compared with that, then those that are not
+    connected yet with the others of the group, by their whole sketches inside the tasks; what these allow
+    is verified. Where that fails the group is compared once more by whole sets. So no link that connects
+    two components is lost, and the pairs of a large group are never rows. Rows of one doc_id are
+    documents of their own with that number.
     """
     # Sets are equal if their 64-bit hashes are: of a billion different sets, two meet with 3 in 100.
     known = materialize(sketches(docs, n, num, den), "sketches")
@@ -140,54 +254,38 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     )
     keyed = known.where("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = materialize(keyed.join(shared, "key").select("key", "node", "low", "high"), "members")
-
-    sizes = nodes.select("node", "size")
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        sized = pairs.distinct().join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-        return sized.where(
-            (den * F.least("size_a", "size_b") >= num * F.greatest("size_a", "size_b"))
-        ).select("a", "b")
-
-    def check(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = materialize(fitting(pairs), "pairs")
-        return pairs, materialize(_verified(docs, nodes, pairs, n, num, den), "links")
+    groups = materialize(keyed.join(shared, "key").select(F.col("low").alias("group"), "node").distinct(), "groups")
+    wanted = nodes.join(groups.select("node").distinct(), "node").select("node", "doc_id")
+    texts = materialize(
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .join(wanted, "doc_id")
+        .select("node", "text"),
+        "texts",
+    )
+    bits = materialize(_described(texts, n, whole=False), "bits")
 
-    tried, links = check(members.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b")))
+    sizes = bits.select("node", "size")
+    star = groups.where("group <> node").select(F.col("group").alias("a"), F.col("node").alias("b"))
+    sized = star.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
+    fits = sized.where(den * F.least("size_a", "size_b") >= num * F.greatest("size_a", "size_b")).select("a", "b")
+    links = materialize(_verified(texts, fits, n, num, den).where("linked"), "verified").select("a", "b")
     found = components(links)
-    for turn in ("high", "all"):
-        named = members.join(found, "node", "left").select(
-            "key", "node", "high", F.coalesce("component", "node").alias("component")
-        )
-        apart = named.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        rest = named.join(apart.select("key"), "key").distinct()
-        if turn == "high":
-            top = rest.where("node = high").select("key", F.col("component").alias("of_high"))
-            more = rest.join(top, "key").where("component <> of_high").select(F.col("node").alias("a"), F.col("high").alias("b"))
-        else:
-            rest = materialize(rest.select("key", "node", "component"), "apart")
-            other = rest.toDF("key", "b", "component_b")
-            more = (
-                rest.withColumnRenamed("node", "a")
-                .join(other, "key")
-                .where("a < b AND component <> component_b")
-                .select("a", "b")
-            )
-        more = more.distinct().join(tried, ["a", "b"], "left_anti")
-        now_tried, now_links = check(more)
-        if now_tried.isEmpty():
-            break
-        tried, links = tried.unionAll(now_tried), links.unionAll(now_links)
-        if not now_links.isEmpty():
-            found = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    told = materialize(_verified(texts, _rest(groups, found, bits, num, den, whole=False), n, num, den), "verified")
+    new = told.where("linked").select("a", "b")
+    if not new.isEmpty():
+        links = links.unionAll(new)
+        found = components(links)
+    failed = told.where("NOT linked").select("group").distinct()
+    if not failed.isEmpty():
+        # Sketches of these groups came too close; their sets decide.
+        again = groups.join(failed, "group")
+        sets = _described(texts.join(again.select("node").distinct(), "node"), n, whole=True)
+        new = materialize(_rest(again, found, sets, num, den, whole=True).select("a", "b"), "verified")
+        if not new.isEmpty():
+            found = components(links.unionAll(new))
     own = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     lowest = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = own.join(lowest, "component").join(degree, "node", "left").select("node", "component_id", "n_links")
+    named = own.join(lowest, "component").select("node", "component_id")
     return known.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
