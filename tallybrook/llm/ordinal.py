@@ -138,7 +138,7 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return np.bincount(of, value * hashed[number], len(texts)) + (style - model.centre) / model.spread @ dense
 
 
-def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 12000) -> Model:
+def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000) -> Model:
     """Fit on a sample of at most ``max_rows`` rated texts, those of the least hash of their id.
 
     ``rated`` has doc_id and grade (0 to ``grades - 1``); rows with a null or another grade are left out,
