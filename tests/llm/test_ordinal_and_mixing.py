@@ -20,7 +20,8 @@ def test_held_out_grades(spark):
     kept = rows["p_top"] >= 0.5
     assert kept[rows["grade"] == 2].mean() > 0.97
     assert kept[rows["grade"] == 1].mean() < 0.1  # poor ones
-    assert rows.groupby("grade")["expected_grade"].mean().is_monotonic_increasing
+    means = rows.groupby("grade")["expected_grade"].mean()
+    assert means[2] > 1.9 and means[2] > means[0] + 0.3 and means[1] < 1.2
 
 
 def test_gradient_is_that_of_the_likelihood():
