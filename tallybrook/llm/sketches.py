@@ -68,7 +68,8 @@ def with_next_text(docs: DataFrame, rows_per_block: int = 4096, fan: int = 4096)
     # The head of the next block: within a group of ``fan`` blocks, or else that of the next group.
     group = F.expr(f"block div {fan}L")
     groups = heads.groupBy(group.alias("group")).agg(F.min("head").alias("group_head"))
-    following = F.lead("group_head").over(Window.partitionBy(F.expr(f"group div {fan}L")).orderBy("group"))
+    # One row for each ``fan * rows_per_block`` documents: few thousands for a hundred billion.
+    following = F.lead("group_head").over(Window.partitionBy(F.lit(0)).orderBy("group"))
     groups = groups.select("group", F.coalesce(following, F.lit(low)).alias("after"))
     within = F.lead("head").over(Window.partitionBy("group").orderBy("block"))
     guests = heads.withColumn("group", group).withColumn("next_head", within).join(groups, "group")
