@@ -100,3 +100,20 @@ def test_mix_of_odd_and_no_rows(spark):
 
 def test_tempered():
     assert mixing.tempered({"a": 9.0, "b": 1.0, "c": 0.0}, 0.5) == {"a": 0.75, "b": 0.25}
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_all_sources_are_raked(spark, monkeypatch, local):
+    if not local:
+        monkeypatch.setattr(mixing, "LOCAL_CELLS", 0)
+    rnd = random.Random(6)
+    rows = [(i, f"s{min(rnd.randrange(1, 7), rnd.randrange(1, 7))}" if i % 40 else None, rnd.choice(["en", "en", "it"]), rnd.randint(0, 30)) for i in range(1500)]
+    docs = spark.createDataFrame([(i, "x", *r) for i, *r in rows], "doc_id long, text string, source string, lang string, tokens long")
+    got = mixing.with_probabilities(docs, {"source": None, "lang": None}, 0.5).toPandas()
+    assert len(got) == 1500
+    for column in ("source", "lang"):
+        own = got[column].fillna("none")
+        share = (got["tokens"] * got["factor"]).groupby(own).sum() / got["tokens"].sum()
+        wanted = mixing.tempered(got["tokens"].groupby(own).sum().astype(float).to_dict(), 0.5)
+        assert len(wanted) == {"source": 7, "lang": 2}[column]
+        assert all(abs(share[k] - v) < 1e-8 for k, v in wanted.items())
