@@ -28,11 +28,23 @@ def tempered(counts: dict[str, float], power: float) -> dict[str, float]:
     return {k: v / total for k, v in raised.items()}
 
 
-def first_long_word_topic(text: Column, topics: int = 8) -> Column:
-    """A stand-in for a topic model: a bucket of the first word of eight letters or more, else of the first word."""
-    long, any_word = (F.regexp_extract(F.lower(text), p, 0) for p in (r"\p{L}{8,}", WORD))
-    word = F.when(long == "", any_word).otherwise(long)
-    return F.when(word == "", "none").otherwise(F.concat(F.lit("t"), F.pmod(F.xxhash64(word), F.lit(topics)).cast("string")))
+def long_words_topic(text: Column, topics: int = 8) -> Column:
+    """A stand-in for a topic model: the bucket that most words of eight letters or more of the whole text hash to.
+
+    Where there are none all words count. Of buckets with equally many words it is the lowest.
+    """
+    lowered = F.lower(text)
+    words = F.regexp_extract_all(lowered, F.lit(r"\p{L}{8,}"), F.lit(0))
+    words = F.when(F.size(words) > 0, words).otherwise(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)))
+    buckets = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(topics)).cast("int"))
+    numbers = F.sequence(F.lit(0), F.lit(topics - 1))
+
+    def most(found: Column) -> Column:
+        counts = F.transform(numbers, lambda k: F.size(F.filter(found, lambda b: b == k)))
+        best = F.get(F.transform(F.array(counts), lambda c: F.array_position(c, F.array_max(c)) - 1), F.lit(0))
+        return F.when(F.size(found) == 0, "none").otherwise(F.concat(F.lit("t"), best.cast("string")))
+
+    return F.get(F.transform(F.array(buckets), most), F.lit(0))
 
 
 def rake_axes(
@@ -172,7 +184,7 @@ def with_probabilities(
 def described(docs: DataFrame) -> DataFrame:
     """``docs`` with ``tokens`` (words) and ``topic``; a null text has no tokens and the topic "none"."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"tokens": F.regexp_count(text, F.lit(WORD)).cast("long"), "topic": first_long_word_topic(text)})
+    return docs.withColumns({"tokens": F.regexp_count(text, F.lit(WORD)).cast("long"), "topic": long_words_topic(text)})
 
 
 #: The production mix: all sources, languages and topics that the data have, each tempered.

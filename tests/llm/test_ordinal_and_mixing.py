@@ -117,3 +117,12 @@ def test_all_sources_are_raked(spark, monkeypatch, local):
         wanted = mixing.tempered(got["tokens"].groupby(own).sum().astype(float).to_dict(), 0.5)
         assert len(wanted) == {"source": 7, "lang": 2}[column]
         assert all(abs(share[k] - v) < 1e-8 for k, v in wanted.items())
+
+
+def test_topic_is_that_of_the_whole_text(spark):
+    body = "mountains mountains glaciers mountains "
+    openings = [f"{c * 9} " for c in "abcdefghijkl"]
+    texts = [o + body * 3 for o in openings] + [body, "tiny words", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.topic for r in mixing.described(docs).orderBy("doc_id").collect()]
+    assert set(got[:12]) == {got[12]} and got[13] != "none" and got[14:] == ["none", "none"]
