@@ -29,11 +29,12 @@ from pyspark.sql import types as T
 
 from tallybrook.llm.common import chunks, groups_of, materialize
 from tallybrook.llm.components import components
+from tallybrook.llm.repeats import NO_ID, keyed
 from tallybrook.llm.words import mix, shingle_sets
 
 TILE = 512  # members of a group that a task compares with as many others
 WIDTH = 1 << 20  # bits of a block; only those that are set are kept
-SKETCH = "doc_id long, n_shingles long, node long, keys array<bigint>"
+SKETCH = "doc_id long, text_key long, n_shingles long, node long, keys array<bigint>"
 
 
 @lru_cache(maxsize=None)
@@ -75,7 +76,7 @@ def block_keys(members: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, node (a hash of the whole set; null if empty) and the block keys."""
+    """doc_id, text_key (a hash of the text), n_shingles, node (a hash of the whole set; null if empty) and the block keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -86,14 +87,16 @@ def sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                        batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
                     ],
-                    names=["doc_id", "n_shingles", "node", "keys"],
+                    names=["doc_id", "text_key", "n_shingles", "node", "keys"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sketch, SKETCH)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_key"), F.col("text").cast("string"))
+    return given.mapInArrow(sketch, SKETCH)
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -249,17 +252,16 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     nodes = materialize(
         known.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size")),
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text_key")).alias("of")),
         "nodes",
     )
-    keyed = known.where("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    groups = materialize(keyed.join(shared, "key").select(F.col("low").alias("group"), "node").distinct(), "groups")
-    wanted = nodes.join(groups.select("node").distinct(), "node").select("node", "doc_id")
+    entries = known.where("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
+    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    groups = materialize(entries.join(shared, "key").select(F.col("low").alias("group"), "node").distinct(), "groups")
+    wanted = nodes.join(groups.select("node").distinct(), "node").select("node", "of.doc", "of.text_key")
+    # One row of each node; those of one id are told apart by their text, and those without an id count too.
     texts = materialize(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(wanted, "doc_id")
-        .select("node", "text"),
+        keyed(docs).join(wanted, ["doc", "text_key"]).select("node", "text").dropDuplicates(["node"]),
         "texts",
     )
     bits = materialize(_described(texts, n, whole=False), "bits")

@@ -108,3 +108,17 @@ def test_components(spark):
     got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in linked)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_id_and_of_none(spark):
+    words = [f"w{k}" for k in range(60)]
+    changed = lambda *at: " ".join("new" if k in at else w for k, w in enumerate(words))
+    other = lambda name: " ".join(f"{name}{k % 50}" for k in range(50))
+    # 7 has three texts; one is near that of 2. Only the row without an id connects 10 and 11.
+    rows = [(7, other("x")), (7, changed(0)), (7, other("y")), (2, changed()), (4, other("x") + " tail"), (5, other("y") + " tail")]
+    bridge = [f"b{k}" for k in range(100)]
+    rows += [(10, " ".join(bridge[8:])), (None, " ".join(bridge)), (11, " ".join(bridge[:-8])), (None, other("z"))]
+    got = parity_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100)
+    expected = brute(rows, 3, 90, 100)
+    assert (11, 90, 10) in expected and (7, 58, 2) in expected
+    assert sorted(map(tuple, got.collect()), key=repr) == expected
