@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import line_dedup, metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_files
+from tallybrook.llm import bit_packing, line_dedup, metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.document_token_counts(table(spark, folder, "documents"))
 
 
+@query
+def op11_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return bit_packing.document_ids(table(spark, folder, "documents"))
+
+
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.similar_documents(table(spark, folder, "documents"), n=3, num=90, den=100)
