@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bit_packing, line_dedup, metric_tree, mixing, ordinal, packing, parity_join, recompression, sketches, suffix_dedup, token_alignment, token_files
+from tallybrook.llm import bit_packing, line_dedup, metric_tree, mixing, ordinal, packing, parity_join, phrases, recompression, sketches, suffix_dedup, token_alignment, token_files
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.alignments(table(spark, folder, "documents"))
 
 
+@query
+def op13_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.similar_documents(table(spark, folder, "documents"), n=3, num=90, den=100)
