@@ -9,6 +9,7 @@ Ids lie in ascending order of doc_id over files and inside them.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import struct
 import zlib
@@ -29,7 +30,7 @@ from tallybrook.session import shared_folder
 LANES = 64  # ids that fill whole words together
 BLOCK_IDS = 1 << 16
 READ_IDS = 1 << 20  # ids unpacked at once
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 20  # some 150 bytes each
 END_ID = 1
 MAGIC = b"IDBITS01"
 FOOTER = "<8sIIQQ"  # magic, bits of an id, ids of a block, blocks, ids
@@ -162,28 +163,39 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self._forget()
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and where those of each text begin (one more entry: the end). A null text has none."""
-        codes, starts, different = split_words(texts)
-        words = different.to_pylist()
+    def _forget(self) -> None:
+        """Words to their numbers, and in the order of these how many ids each has, where they begin, and all ids."""
+        self.known, self.length, self.begin, self.ids = {}, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers; those not known yet are encoded."""
         new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self._forget()
+            new = words
         if new:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known, new = {}, words
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.known.update(zip(new, (np.array(e.ids, np.uint32) for e in encoded)))
-        own = [self.known[w] for w in words]
-        if not own:
-            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        length = np.fromiter(map(len, own), np.int64, len(own))
-        begin = np.cumsum(length) - length
-        per_word = length[codes]
+            ids = [e.ids for e in encoded]
+            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
+            self.length = np.append(self.length, length)
+            self.ids = np.append(self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum())))
+            self.known.update(zip(new, range(len(self.known), len(self.length))))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where those of each text begin (one more entry: the end). A null text has none."""
+        codes, starts, different = split_words(texts)
+        number = self._numbers(different.to_pylist())
+        per_word = self.length[number][codes]
         ends = np.concatenate(([0], np.cumsum(per_word)))
-        places = np.arange(ends[-1]) + np.repeat(begin[codes] - ends[:-1], per_word)
-        return np.concatenate(own)[places], ends[starts]
+        places = np.arange(ends[-1])
+        places += np.repeat(self.begin[number][codes] - ends[:-1], per_word)
+        return self.ids[places], ends[starts]
 
 
 @functools.lru_cache(maxsize=2)
