@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,11 @@ BLOCK_IDS = 1 << 16
 READ_IDS = 1 << 20  # ids unpacked at once
 CACHED_WORDS = 1 << 20  # some 150 bytes each
 END_ID = 1
+CHUNK_BYTES = 16 << 20  # of text at once: the larger, the fewer words are looked up again
+#: Words that the vocabulary cuts between letters and the rest, and nowhere else before it merges; how many are encoded together.
+SIMPLE = re.compile(rb"[A-Za-z]+[.,;:!?]*")
+JOINED = 1000
+UNIT_END = "</w>"  # fixed value: how the vocabulary marks the last token of a unit
 MAGIC = b"IDBITS01"
 FOOTER = "<8sIIQQ"  # magic, bits of an id, ids of a block, blocks, ids
 
@@ -165,6 +171,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.is_end = np.zeros(self.size, bool)
+        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(UNIT_END)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -178,15 +186,32 @@ class WordEncoder:
             self._forget()
             new = words
         if new:
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            ids = [e.ids for e in encoded]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
-            self.length = np.append(self.length, length)
-            self.ids = np.append(self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum())))
-            self.known.update(zip(new, range(len(self.known), len(self.length))))
+            simple, others = [], []
+            for word in new:
+                (simple if SIMPLE.fullmatch(word) else others).append(word)
+            for words_of, encode in ((simple, self._together), (others, self._each)):
+                ids, length = encode(words_of)
+                self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
+                self.length = np.append(self.length, length)
+                self.ids = np.append(self.ids, ids)
+                self.known.update(zip(words_of, range(len(self.known), len(self.length))))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each word has."""
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum())), length
+
+    def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of SIMPLE words, many at a time: letters are one unit of the vocabulary, and what follows them another."""
+        lines = [b" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        ids, _ = self._each(lines)
+        units = np.cumsum([1 + (not w[-1:].isalpha()) for w in words])
+        ends = np.append(0, np.flatnonzero(self.is_end[ids]) + 1)  # after each unit
+        return ids, np.diff(ends[np.append(0, units)]) if words else np.empty(0, np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where those of each text begin (one more entry: the end). A null text has none."""
         codes, starts, different = split_words(texts)
@@ -231,7 +256,7 @@ def write_packed(
         with store.open_output_stream(f"{root}/{name}") as out:
             writer = PackedWriter(out, bits_of(max(ids_of.size, end_id + 1)), block_ids)
             for whole in batches:
-                for batch in chunks(whole, "text"):
+                for batch in chunks(whole, "text", CHUNK_BYTES):
                     ids, starts = ids_of.encode(batch.column("text"))
                     ids = np.insert(ids, starts[1:], end_id)
                     lengths = np.diff(starts) + 1
