@@ -28,7 +28,8 @@ from tallybrook.llm.words import mix
 
 LONGEST = 4
 FIELD_BITS = 26  # a field of 8 MB
-SAMPLE_BYTES = 32 << 20
+SAMPLE_BYTES = 8 << 20
+CHUNK_BYTES = 8 << 20
 NO_LANG = "und"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -78,23 +79,39 @@ class Text:
         heads = bounds[:-1][bounds[:-1] < len(raw)]
         begins[heads] = inside[heads]
         at = np.flatnonzero(begins)
-        letters = np.concatenate(([0], np.cumsum(inside)))
-        offsets = np.append(letters[at], letters[-1]).astype(np.int32)
+        letters = np.cumsum(inside, dtype=np.int32)
+        offsets = np.append(letters[at] - 1, letters[-1] if len(letters) else 0).astype(np.int32)
         data = pa.py_buffer(np.ascontiguousarray(raw[inside]))
         coded = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), data]).dictionary_encode()
-        text_of = np.searchsorted(bounds, at, "right")  # both parts rise, so their sum tells pieces apart
-        self.piece = np.cumsum(breaks)[at] + text_of if len(at) else np.empty(0, np.int64)
+        words_of = np.diff(np.searchsorted(at, bounds))
+        # Both parts rise, so their sum tells pieces apart.
+        self.piece = np.cumsum(breaks, dtype=np.int32)[at] + np.repeat(np.arange(1, len(texts) + 1, dtype=np.int32), words_of)
         tongues = langs.dictionary_encode()
         self.langs, self.words = tongues.dictionary, coded.dictionary
-        self.lang = tongues.indices.to_numpy(zero_copy_only=False)[text_of - 1].astype(np.int64)
-        self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.lang = np.repeat(tongues.indices.to_numpy(zero_copy_only=False), words_of)
+        self.word = coded.indices.to_numpy(zero_copy_only=False)
+
+    def terms(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different words of each language: language, word; and for each place which of them is there.
+
+        A grid of languages and words while it is no larger than a few times the text; else only what occurs.
+        """
+        width, n = len(self.words), len(self.word)
+        name = self.lang.astype(np.int64) * width + self.word
+        if len(self.langs) * width <= 4 * n:
+            keys = np.arange(len(self.langs) * width)
+        else:
+            keys, name = np.unique(name, return_inverse=True)
+        return keys // width, keys % width, name
 
 
 def _found(text: Text, first: np.ndarray, size: int, counts: np.ndarray) -> pa.RecordBatch:
     """Rows of COUNTS for different phrases of ``size`` words that first stand at ``first``."""
     parts = [text.words.take(pa.array(text.word[first + j])) for j in range(size)]
-    phrases = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
-    langs = text.langs.take(pa.array(text.lang[first]))
+    return _rows(text.langs.take(pa.array(text.lang[first])), pc.binary_join_element_wise(*parts, b" "), counts)
+
+
+def _rows(langs: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([langs, phrases.cast(pa.string()), pa.array(counts)], schema=COUNTS)
 
 
@@ -107,17 +124,16 @@ def count_text(text: Text, known: Field, before: Field | None) -> Iterator[pa.Re
     n = len(text.word)
     if not n:
         return
-    if before is None:
-        langs, totals = np.unique(text.lang, return_counts=True)
-        yield pa.RecordBatch.from_arrays([text.langs.take(pa.array(langs)), pa.array([""] * len(langs)), pa.array(totals)], schema=COUNTS)
     own = np.fromiter(map(word_hash, text.words.to_pylist()), np.uint64, len(text.words))
     tongues = np.fromiter((word_hash(lang.encode()) for lang in text.langs.to_pylist()), np.uint64, len(text.langs))
-    width = len(own)
-    # The same word of two languages is two phrases.
-    keys, first, name, counts = np.unique(text.lang * width + text.word, return_index=True, return_inverse=True, return_counts=True)
-    hashes = longer(tongues[keys // width], own[keys % width])
+    lang, word, name = text.terms()
+    hashes = longer(tongues[lang], own[word])
     if before is None:
-        yield _found(text, first, 1, counts)
+        langs, totals = np.unique(text.lang, return_counts=True)
+        yield _rows(text.langs.take(pa.array(langs)), pa.array([""] * len(langs)), totals)
+        counts = np.bincount(name, minlength=len(hashes))
+        some = np.flatnonzero(counts)
+        yield _rows(text.langs.take(pa.array(lang[some])), text.words.take(pa.array(word[some])), counts[some])
     good = known.holds(hashes)[name]
     old = np.zeros(n, bool) if before is None else before.holds(hashes)[name]
     for size in range(2, LONGEST + 1):
@@ -128,14 +144,19 @@ def count_text(text: Text, known: Field, before: Field | None) -> Iterator[pa.Re
         if not len(at):
             return
         counted = old[at] & old[at + 1]
-        keys, first, index, counts = np.unique(
-            name[at] * width + text.word[at + size - 1], return_index=True, return_inverse=True, return_counts=True
-        )
-        hashes = longer(hashes[keys // width], own[keys % width])
+        keys = name[at] * len(own) + text.word[at + size - 1]
+        if size < LONGEST:
+            keys, first, index, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        else:  # nothing comes after
+            at, keys = at[~counted], keys[~counted]
+            counted = np.zeros(len(at), bool)
+            keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
         new = ~counted[first]
         if new.any():
             yield _found(text, at[first[new]], size, counts[new])
-        name = np.full(n, -1)
+        if size == LONGEST:
+            return
+        hashes = longer(hashes[keys // len(own)], own[keys % len(own)])
         name[at] = index
         good, old = np.zeros(n, bool), np.zeros(n, bool)
         good[at] = known.holds(hashes)[index]
@@ -150,10 +171,12 @@ def count_phrases(docs: DataFrame, known=None, before=None) -> DataFrame:
         now = Field(known.value if known else None)
         then = Field(before.value) if before else None
         for whole in batches:
-            for batch in chunks(whole, "text"):
+            for batch in chunks(whole, "text", CHUNK_BYTES):
                 yield from count_text(Text(batch.column("text"), batch.column("lang")), now, then)
 
-    return docs.mapInArrow(scan, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # A chunk has a phrase once already, and most phrases are in one chunk of a task alone: no more combining before the shuffle.
+    dealt = docs.mapInArrow(scan, "lang string, phrase string, n long").repartition("lang", "phrase")
+    return dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
