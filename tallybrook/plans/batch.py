@@ -590,13 +590,14 @@ def in_cents(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("cents", F.round(F.col("amount") * 100).cast("bigint"))
 
 
-@query(
-    f"""
+USER_FOLD_SQL = f"""
 SELECT card, count(*) AS n, sum(amount::DECIMAL(18, 2))::DOUBLE AS total,
        max(amount::DECIMAL(18, 2))::DOUBLE AS largest
 FROM ({CARDS_SQL}) GROUP BY card
 """
-)
+
+
+@query(USER_FOLD_SQL)
 def user_fold(spark: SparkSession, folder: str) -> DataFrame:
     """Count, sum and maximum per card in user code."""
     return fold.fold_agg(

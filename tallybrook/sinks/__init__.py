@@ -1,4 +1,4 @@
-"""Outputs: delimited text, console, several sinks on one stream, and replays into a table."""
+"""Outputs: delimited text, printed lines, several sinks on one stream, and replays into a table."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook import sources
 from tallybrook.session import rocksdb_state, shared_folder
+from tallybrook.sinks.printing import Printed
 
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = " ", mode: str = "errorifexists") -> None:
@@ -18,13 +19,34 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = " ", mode: str = "er
 
 
 def print_stream(
-    df: DataFrame, checkpoint: str, *, mode: str = "append", name: str | None = None, num_rows: int = 2**31 - 1, truncate: bool = False
+    df: DataFrame,
+    checkpoint: str,
+    folder: str,
+    *,
+    mode: str = "append",
+    name: str | None = None,
+    sep: str = ",",
+    echo: bool = False,
+    **trigger,
 ) -> StreamingQuery:
-    """Show every row of every batch on the driver's console, or ``num_rows`` of it."""
-    writer = df.writeStream.format("console").outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.option("numRows", num_rows).option("truncate", truncate)
+    """Print every row of every batch as a line, in the tasks that have the rows; no row passes the driver.
+
+    The lines are in ``folder``, which all executors must see, below ``batch=<number>``: each row once, also if a
+    batch is run again (see ``sinks.printing``). With ``echo`` tasks also print them, with their partition's
+    number in front, to their own output, where lines of a failed attempt stay. Default trigger: as fast as rows come.
+    """
+    df.sparkSession.dataSource.register(Printed)
+    writer = df.writeStream.format(Printed.name()).outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = writer.option("folder", folder).option("sep", sep).option("echo", str(echo).lower())
+    if name:
+        writer = writer.queryName(name)
     with rocksdb_state(df.sparkSession):
-        return (writer.queryName(name) if name else writer).start()
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def printed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``batch`` and ``value`` of what :func:`print_stream` has printed to ``folder`` and committed."""
+    return spark.read.schema("value string, batch bigint").option("basePath", folder).text(f"{folder}/batch=*")
 
 
 def fan_out(

@@ -18,22 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
+from tallybrook.functions.times import micros_as_timestamps, timestamps_as_micros
+
 
 def in_order(rows: Iterable[Row], order: Sequence[str]) -> list[Row]:
     """Sorted by ``order``, nulls first."""
     return sorted(rows, key=lambda row: [(row[o] is not None, row[o]) for o in order])
 
 
-def timestamps_as_micros(df: DataFrame) -> DataFrame:
-    """Times as whole microseconds: Python would shift them through its own time zone."""
-    return df.withColumns({c: F.unix_micros(c) for c, t in df.dtypes if t == "timestamp"})
-
-
-def micros_as_timestamps(df: DataFrame, like: DataFrame) -> DataFrame:
-    times = [c for c, t in like.dtypes if t == "timestamp" and c in df.columns]
-    return df.withColumns({c: F.timestamp_micros(c) for c in times})
-
-
 def fold_keys(
     df: DataFrame,
     keys: Sequence[str],
