@@ -28,7 +28,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int =
     """Each document as pieces of at most ``capacity`` tokens, ``end_id`` after its last token.
 
     Only longer documents are cut; all their pieces but the first are full. A null text is empty, so
-    it is the end id alone. Repeated rows and repeated or null ids give pieces of their own. ``deal``
+    it is the end id alone. A special token's string in a text is its id, as by the vocabulary's own settings. Repeated rows and repeated or null ids give pieces of their own. ``deal``
     numbers the pieces of a task, so that copies spread evenly over groups.
     """
     path = vocabulary or default_vocabulary()
@@ -39,7 +39,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int =
             for batch in chunks(whole, "text"):
                 rows = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    ids = np.append(encode(text.as_py(), path), np.uint32(end_id)).astype("<u4")
+                    ids = np.append(encode(text.as_py(), path, special=True), np.uint32(end_id)).astype("<u4")
                     first = len(ids) % capacity or capacity
                     bounds = [0, *range(first, len(ids) + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
