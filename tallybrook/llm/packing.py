@@ -2,8 +2,8 @@
 
 The pieces are dealt to groups of bounded size and each group is packed by best-fit decreasing. A
 lower bound from dual-feasible functions certifies a group whose number of sequences equals it.
-Groups with a gap give up the documents of sequences that are not full; these are dealt anew to
-fewer, fuller groups and packed again, as long as that saves sequences.
+Groups with a gap give up the documents of sequences that are not full, certified ones those of sequences that are
+not half full; these are dealt anew to fewer groups and packed again, and what saves sequences is kept.
 """
 
 from __future__ import annotations
@@ -114,7 +114,8 @@ def _packed(pieces: DataFrame, groups: int, capacity: int, turn: int) -> DataFra
         waste = capacity - np.bincount(bins, weights=sizes, minlength=used)
         gap = used - lower_bound(sizes, capacity)
         # The gap stays with the pieces that are to be dealt again: those of sequences that are not full.
-        again = np.where(waste[bins] > 0, gap, 0).astype(np.int64)
+        # A certified group gives up what is less than half full: what single groups must leave open, several can fill.
+        again = np.where(waste[bins] > (0 if gap else capacity // 2), max(gap, 1), 0).astype(np.int64)
         names = (np.int64(turn) << 56) + (np.int64(key[0]) << 28) + bins
         return rows.drop(columns="bucket").assign(sequence_id=names, offset=offsets, gap=again)
 
@@ -141,9 +142,10 @@ def pack(pieces: DataFrame, capacity: int = 1024, rows_per_group: int = 16384, t
             F.count_if(F.col("offset") == 0).alias("bins"),
         ).first()
         if before is not None:
-            if figures["bins"] >= before[1]:
-                done.append(before[0])
-                break
+            if figures["bins"] >= before[1]:  # nothing is gained: another turn deals the same pieces in another way
+                if turn == turns:
+                    done.append(before[0])
+                continue
         done.append(new.where("gap = 0"))
         before = (new.where("gap > 0"), figures["open"])
         if not figures["rows"] or turn == turns or (turn and groups_of(total, rows_per_group) == 1):
