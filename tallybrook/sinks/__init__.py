@@ -21,7 +21,7 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = " ", mode: str = "er
 def print_stream(
     df: DataFrame,
     checkpoint: str,
-    folder: str,
+    folder: str | None = None,
     *,
     mode: str = "append",
     name: str | None = None,
@@ -31,13 +31,13 @@ def print_stream(
 ) -> StreamingQuery:
     """Print every row of every batch as a line, in the tasks that have the rows; no row passes the driver.
 
-    The lines are in ``folder``, which all executors must see, below ``batch=<number>``: each row once, also if a
+    The lines are in ``folder`` (default: ``printed`` below the checkpoint), which all executors must see, below ``batch=<number>``: each row once, also if a
     batch is run again (see ``sinks.printing``). With ``echo`` tasks also print them, with their partition's
     number in front, to their own output, where lines of a failed attempt stay. Default trigger: as fast as rows come.
     """
     df.sparkSession.dataSource.register(Printed)
     writer = df.writeStream.format(Printed.name()).outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.option("folder", folder).option("sep", sep).option("echo", str(echo).lower())
+    writer = writer.option("folder", folder or f"{checkpoint.rstrip('/')}/printed").option("sep", sep).option("echo", str(echo).lower())
     if name:
         writer = writer.queryName(name)
     with rocksdb_state(df.sparkSession):
