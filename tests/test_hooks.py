@@ -221,6 +221,9 @@ def run_for(spark, folder, seconds, instances=3):
         numbers_of.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="300 milliseconds")
         .start(f"{folder}/rows")
     )
+    deadline = time.time() + 60
+    while time.time() < deadline and sum(p["numInputRows"] for p in query.recentProgress) == 0:
+        time.sleep(0.2)  # the first worker takes a while to start
     time.sleep(seconds)
     query.stop()
 
