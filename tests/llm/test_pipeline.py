@@ -55,7 +55,7 @@ def test_packing_is_whole(stages):
 
 def test_registered_queries(spark):
     names = set(queries.QUERIES)
-    assert {f"op{n}_" for n in range(1, 11)} == {n[: n.index("_") + 1] for n in names - {"pipeline"}}
+    assert {f"op{n}_" for n in range(1, 14)} == {n[: n.index("_") + 1] for n in names - {"pipeline"}}
     assert names <= set(entry.queries())
     for name in ("op1_document_fingerprints", "op3_line_dedup", "op5_ordinal_quality", "op7_source_mixing", "op10_token_counts"):
         assert queries.QUERIES[name](spark, DATA).count() == 200
