@@ -138,12 +138,13 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return np.bincount(of, value * hashed[number], len(texts)) + (style - model.centre) / model.spread @ dense
 
 
-def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000) -> Model:
+def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000) -> Model | None:
     """Fit on a sample of at most ``max_rows`` rated texts, those of the least hash of their id.
 
     ``rated`` has doc_id and grade (0 to ``grades - 1``); rows with a null or another grade are left out,
     and a document rated twice counts twice. The sample is the only bounded part: its counts are
-    made in the tasks, and at most ``max_rows`` texts' counts meet in the fit.
+    made in the tasks, and at most ``max_rows`` texts' counts meet in the fit. Without any rated text there
+    is nothing to learn from, and the model is None.
     """
     sample = (
         rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
@@ -174,7 +175,7 @@ def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000)
     rows = texts.join(F.broadcast(sample), "doc_id").select("grade", "text").mapInArrow(count, schema)
     counted = materialize(rows, "counts").toArrow().combine_chunks()
     if not counted.num_rows:
-        raise ValueError("no rated document to learn from")
+        return None
     place, value = counted.column("place").combine_chunks(), counted.column("value").combine_chunks()
     of = np.repeat(np.arange(len(place)), place.value_lengths().to_numpy())
     style = counted.column("style").combine_chunks().flatten().to_numpy().reshape(-1, STYLE)
@@ -182,12 +183,15 @@ def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000)
     return fit(of, place.flatten().to_numpy(), value.flatten().to_numpy().astype(np.float64), style, grade, grades)
 
 
-def rate(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
+def rate(docs: DataFrame, model: Model | None, column: str = "text") -> DataFrame:
     """``docs`` with expected_grade and p_top, the chance of the highest grade.
 
     Every row gets both: a null text, and one without words, is rated by its style of zeros. The texts
-    are read whole, extra columns stay.
+    are read whole, extra columns stay. Without a model both are null.
     """
+    if model is None:
+        names = [f for f in docs.columns if f not in ("expected_grade", "p_top")]
+        return docs.select(*names, *(F.lit(None).cast("double").alias(name) for name in ("expected_grade", "p_top")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f for f in docs.columns if f not in ("expected_grade", "p_top")]
     given = docs.select(names)

@@ -44,8 +44,9 @@ def test_odd_texts_and_rows(spark):
     assert got.columns == ["doc_id", "text", "expected_grade", "p_top"]
     assert got.count() == 6 and got.where("p_top IS NULL OR isnan(p_top)").count() == 0
     assert ordinal.rate(docs.where("false"), model).count() == 0
-    with pytest.raises(ValueError):
-        ordinal.train(docs, rated.where("false"), 3)
+    assert ordinal.train(docs, rated.where("false"), 3) is None
+    unrated = ordinal.rate(docs, None)
+    assert unrated.columns == got.columns and unrated.where("expected_grade IS NULL AND p_top IS NULL").count() == 6
 
 
 def test_graded(spark):

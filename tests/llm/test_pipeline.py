@@ -67,3 +67,25 @@ def test_nothing_else_imports_the_package():
     root = Path(corpus_pipeline.__file__).parent
     others = [p for p in (root / "tallybrook").rglob("*.py") if "llm" not in p.parts]
     assert others and not any("tallybrook.llm" in p.read_text() for p in others)
+
+
+def test_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert queries.QUERIES["op5_ordinal_quality"](spark, str(tmp_path)).count() == 0
+
+
+def test_without_ratings_all_documents_stay(spark, tmp_path):
+    spark.read.parquet(f"{DATA}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    assert ids(corpus_pipeline.rate_quality(spark, docs, str(tmp_path))) == ids(docs)
+
+
+def test_own_columns_of_clashing_names_keep_their_values(spark):
+    names = ["kept", "n_removed", "n_lines", "p_top", "expected_grade", "tokens", "topic", "factor", "probability", "selected"]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    for stage in (corpus_pipeline.rate_quality, corpus_pipeline.remove_lines, corpus_pipeline.mix_sources):
+        rows = stage(spark, docs, DATA).collect()
+        assert rows and rows[0].__fields__ == docs.columns
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
