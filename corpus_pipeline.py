@@ -6,6 +6,8 @@ is written and read again as the next one's ``docs``. All but the last return th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +15,36 @@ from tallybrook.llm import line_dedup, mixing, ordinal, packing, parity_join
 from tallybrook.llm.common import materialize, table
 
 
+#: Columns of documents that the stages read; all others are carried along under spare names.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def beside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage(docs)`` with the columns of ``docs``: those of a name that the stage gives to its own keep their values."""
+    spare = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in READ}
+    done = stage(docs.withColumnsRenamed(spare))
+    return done.select(*(F.col(spare.get(c, c)).alias(c) for c in docs.columns))
+
+
 def rate_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which the highest grade is at least as likely as not; the labels are those of ``sf_dir``."""
+    """Documents of which the highest grade is at least as likely as not; the labels are those of ``sf_dir``.
+
+    Where no document is rated nothing is known against any, and all stay.
+    """
     model = ordinal.train(docs, ordinal.graded(table(spark, sf_dir, "labels")), ordinal.GRADES)
-    return ordinal.rate(docs, model).where("p_top >= 0.5").select(docs.columns)
+    return beside(docs, lambda given: ordinal.rate(given, model).where("p_top IS NULL OR p_top >= 0.5"))
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier one has, or nearly; those that had no others go."""
-    found = line_dedup.remove_near_lines(docs).where("n_removed = 0 OR kept <> ''")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     length = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": length}).select(docs.columns)
+
+    def remove(given: DataFrame) -> DataFrame:
+        found = line_dedup.remove_near_lines(given).where("n_removed = 0 OR kept <> ''")
+        return found.withColumns({"text": text, "n_chars": length})
+
+    return beside(docs, remove)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +58,7 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by probabilities that give sources, languages and topics their shares of tokens."""
-    return mixing.mix(docs).where("selected").select(docs.columns)
+    return beside(docs, lambda given: mixing.mix(given).where("selected"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
