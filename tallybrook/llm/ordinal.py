@@ -83,8 +83,9 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def _scaled(of, place, value, index, rarity, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, number, value) of the places that count: times rarity, of length one for each text."""
     number = index[place]
-    of, value, number = of[number >= 0], value[number >= 0], number[number >= 0]
-    value = value * rarity[number]
+    counts = number >= 0
+    of, value, number = of[counts], value[counts].astype(np.float64), number[counts]
+    value *= rarity[number]
     length = np.sqrt(np.bincount(of, value**2, n))
     return of, number, value / np.where(length > 0, length, 1.0)[of]
 
@@ -100,6 +101,7 @@ def fit(of, place, value, style, grade, grades: int, rounds: int = 100, rate: fl
     index[counts] = np.arange(len(counts))
     rarity = np.log(n / np.minimum(held[counts], n)) + 0.1
     of, number, value = _scaled(of, place, value, index, rarity, n)
+    del place
     width = len(counts)
     cuts = np.clip(np.cumsum(np.bincount(grade, minlength=grades))[:-1] / n, 1e-3, 1 - 1e-3)
     first = np.log(cuts / (1 - cuts))
@@ -131,6 +133,16 @@ def fit(of, place, value, style, grade, grades: int, rounds: int = 100, rate: fl
     return Model(index, rarity, theta[: width + STYLE], cut[0] + np.append(0.0, np.cumsum(np.exp(cut[1:]))), centre, spread)
 
 
+#: A model as a row: the places that count, and the rest of :class:`Model` for them.
+FITTED = "places array<int>, rarity array<double>, weights array<double>, thresholds array<double>, centre array<double>, spread array<double>"
+
+
+def model_of(row: dict[str, list]) -> Model:
+    index = np.full(WIDTH, -1, np.int32)
+    index[row["places"]] = np.arange(len(row["places"]))
+    return Model(index, *(np.array(row[name]) for name in ("rarity", "weights", "thresholds", "centre", "spread")))
+
+
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
     of, place, value, style = features(texts)
     of, number, value = _scaled(of, place, value, model.index, model.rarity, len(texts))
@@ -143,8 +155,8 @@ def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000)
 
     ``rated`` has doc_id and grade (0 to ``grades - 1``); rows with a null or another grade are left out,
     and a document rated twice counts twice. The sample is the only bounded part: its counts are
-    made in the tasks, and at most ``max_rows`` texts' counts meet in the fit. Without any rated text there
-    is nothing to learn from, and the model is None.
+    made in the tasks, and at most ``max_rows`` texts' counts meet in the task that fits; the driver gets the
+    weights alone. Without any rated text there is nothing to learn from, and the model is None.
     """
     sample = (
         rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
@@ -170,17 +182,25 @@ def train(docs: DataFrame, rated: DataFrame, grades: int, max_rows: int = 8000)
                     names=["grade", "place", "value", "style"],
                 )
 
+    def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [batch for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        taken = lambda name: pa.concat_arrays([batch.column(name) for batch in parts])
+        grade, style = taken("grade").to_numpy(), taken("style").flatten().to_numpy().reshape(-1, STYLE)
+        place, value = taken("place"), taken("value").flatten().to_numpy()
+        of = np.repeat(np.arange(len(place), dtype=np.int32), place.value_lengths().to_numpy())
+        place = place.flatten().to_numpy()
+        parts.clear()
+        model = fit(of, place, value, style, grade, grades)
+        row = {"places": np.flatnonzero(model.index >= 0).astype(np.int32)} | {f: getattr(model, f) for f in ("rarity", "weights", "thresholds", "centre", "spread")}
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row.values()], names=list(row))
+
     schema = "grade long, place array<int>, value array<float>, style array<double>"
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(sample), "doc_id").select("grade", "text").mapInArrow(count, schema)
-    counted = materialize(rows, "counts").toArrow().combine_chunks()
-    if not counted.num_rows:
-        return None
-    place, value = counted.column("place").combine_chunks(), counted.column("value").combine_chunks()
-    of = np.repeat(np.arange(len(place)), place.value_lengths().to_numpy())
-    style = counted.column("style").combine_chunks().flatten().to_numpy().reshape(-1, STYLE)
-    grade = counted.column("grade").to_numpy()
-    return fit(of, place.flatten().to_numpy(), value.flatten().to_numpy().astype(np.float64), style, grade, grades)
+    fitted = materialize(rows, "counts").coalesce(1).mapInArrow(fit_all, FITTED).toArrow().to_pylist()
+    return model_of(fitted[0]) if fitted else None
 
 
 def rate(docs: DataFrame, model: Model | None, column: str = "text") -> DataFrame:

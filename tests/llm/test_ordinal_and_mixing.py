@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -127,3 +128,18 @@ def test_topic_is_that_of_the_whole_text(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r.topic for r in mixing.described(docs).orderBy("doc_id").collect()]
     assert set(got[:12]) == {got[12]} and got[13] != "none" and got[14:] == ["none", "none"]
+
+
+def test_counts_of_the_sample_do_not_meet_in_the_driver(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(9000)]
+    rows = [(i, " ".join(rng.sample(words, 3000)) + " good" * (i % 3), i % 3) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grade long").repartition(4)
+    tracemalloc.start()
+    try:
+        model = ordinal.train(docs.select("doc_id", "text"), docs.select("doc_id", "grade"), 3)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert (model.index >= 0).sum() > 1000 and len(model.weights) == (model.index >= 0).sum() + ordinal.STYLE
+    assert peak < 40e6  # the 1.8 million counts take more
