@@ -101,7 +101,7 @@ class PackedWriter:
             self.blocks.append((self.at, len(block)))
             self.out.write(data)
             self.at += len(data)
-        self.held, self.n_held = [ids[count:]], len(ids) - count
+        self.held, self.n_held = [ids[count:].copy()], len(ids) - count  # a view would keep all ids
 
     def close(self) -> None:
         """The rest of the ids, the table of blocks and the footer; the file itself stays open."""
@@ -177,7 +177,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         """Words to their numbers, and in the order of these how many ids each has, where they begin, and all ids."""
-        self.known, self.length, self.begin, self.ids = {}, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.known, self.length, self.begin, self.ids = {}, np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint32)
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         """The words' numbers; those not known yet are encoded."""
@@ -191,11 +191,11 @@ class WordEncoder:
                 (simple if SIMPLE.fullmatch(word) else others).append(word)
             for words_of, encode in ((simple, self._together), (others, self._each)):
                 ids, length = encode(words_of)
-                self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
-                self.length = np.append(self.length, length)
+                self.begin = np.append(self.begin, (len(self.ids) + np.cumsum(length) - length).astype(np.int32))
+                self.length = np.append(self.length, length.astype(np.int32))
                 self.ids = np.append(self.ids, ids)
                 self.known.update(zip(words_of, range(len(self.known), len(self.length))))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
 
     def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each word has."""
@@ -218,8 +218,9 @@ class WordEncoder:
         number = self._numbers(different.to_pylist())
         per_word = self.length[number][codes]
         ends = np.concatenate(([0], np.cumsum(per_word)))
-        places = np.arange(ends[-1])
-        places += np.repeat(self.begin[number][codes] - ends[:-1], per_word)
+        # Places in self.ids: 32 bits are enough, since all texts of a batch and the words remembered have fewer ids than 2^31.
+        places = np.repeat(self.begin[number][codes] - ends[:-1].astype(np.int32), per_word)
+        places += np.arange(len(places), dtype=np.int32)
         return self.ids[places], ends[starts]
 
 

@@ -1,7 +1,10 @@
 import io
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallybrook.llm import bit_packing
@@ -89,3 +92,18 @@ def test_remembered_words_are_bounded(monkeypatch):
 
 def test_empty_table(spark):
     assert bit_packing.document_ids(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_memory_of_encoding_is_a_small_multiple_of_the_text():
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(2000)]
+    texts = pa.array([" ".join(rnd.choices(words, k=1000)) for _ in range(700)])
+    encoder = bit_packing.WordEncoder(bit_packing.default_vocabulary())
+    encoder.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        encoder.encode(texts)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 13 * texts.nbytes
