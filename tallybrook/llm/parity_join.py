@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,8 +256,10 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
         "nodes",
     )
     entries = known.where("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    groups = materialize(entries.join(shared, "key").select(F.col("low").alias("group"), "node").distinct(), "groups")
+    # Entries are shuffled once: keys of one node alone are most of them, and a join would carry each of these a second time.
+    of_key = Window.partitionBy("key")
+    met = entries.select("node", F.min("node").over(of_key).alias("group"), F.max("node").over(of_key).alias("high"))
+    groups = materialize(met.where("group < high").select("group", "node").distinct(), "groups")
     wanted = nodes.join(groups.select("node").distinct(), "node").select("node", "of.doc", "of.text_key")
     # One row of each node; those of one id are told apart by their text, and those without an id count too.
     texts = materialize(

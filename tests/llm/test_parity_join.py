@@ -59,6 +59,18 @@ def test_matches_brute_force(spark, n, num, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, n, num, 100)
 
 
+def test_block_keys_are_shuffled_once(spark, monkeypatch):
+    plans, write = {}, parity_join.materialize
+
+    def kept(df, purpose):
+        plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(parity_join, "materialize", kept)
+    parity_join.similar_documents(spark.createDataFrame(corpus(3), "doc_id long, text string"), 3, 90, 100)
+    assert plans["groups"].count("Generate explode(keys#") == 1 and "Join" not in plans["groups"]
+
+
 def test_empty_table(spark):
     assert parity_join.similar_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
