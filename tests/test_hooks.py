@@ -90,6 +90,24 @@ def test_fold_goes_on_after_a_restart(spark, tmp_path):
     assert sorted(r.n for r in written) == [25, 100]
 
 
+def test_keys_of_a_stream_are_folded_together(spark, tmp_path):
+    """Pages of few keys are split while batches come; the user's code is given many keys at a time, null ones too."""
+    source = spark.range(900).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 300 < 298, F.col("id") % 300).alias("k"),
+        F.when(F.col("id") % 300 == 299, F.lit(float("nan"))).when(F.col("id") % 3 < 2, F.col("id") % 3 / 2).alias("x"),
+        F.when(F.col("id") % 7 != 3, F.col("id").cast("double")).alias("v"),
+    )
+    given = sources.table_stream(spark, write_in_turn(source, tmp_path / "files", [20, 500]), maxFilesPerTrigger=1)
+    own = code("k", "x")
+    counted = {**own, "result": lambda parts: own["result"](parts).assign(keys=len(parts)), "output": own["output"] + ", keys bigint"}
+    folded = fold_stream(given, ["k", "x"], **counted, buckets=2, keys_per_page=3)
+    got = sinks.replay_update(folded, ["k", "x"]).select("k", "x", "n", "low", "line", "keys").collect()
+    want = fold.fold_agg(source, ["k", "x"], **own).select("k", "x", "n", "low", "line").collect()
+    assert len(want) > 290 and plain(r[:5] for r in got) == plain(want)
+    assert max(r["keys"] for r in got) > 20
+
+
 def test_fold_by_windows(spark, turns):
     keys = ["window_start", "window_end", "k"]
     rows_of = stream(spark, turns).select("ts", "seq", "k", "v")
