@@ -17,7 +17,8 @@ own band and the next one, which holds every larger document that can be similar
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import xor
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ from tallybrook.llm.words import mix, shingle_sets
 
 TILE = 512  # members of a group that a task compares with as many others
 WIDTH = 1 << 20  # bits of a block; only those that are set are kept
-SKETCH = "doc_id long, text_key long, n_shingles long, node long, keys array<bigint>"
+SKETCH = "doc_id long, text_key long, n_shingles long, node long, keys array<bigint>, held binary"
 
 
 @lru_cache(maxsize=None)
@@ -76,7 +77,7 @@ def block_keys(members: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, text_key (a hash of the text), n_shingles, node (a hash of the whole set; null if empty) and the block keys."""
+    """doc_id, text_key (a hash of the text), n_shingles, node (a hash of the whole set; null if empty), the block keys and the parity sketch."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -90,8 +91,9 @@ def sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                         batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
+                        pa.array([_parities(s) for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "text_key", "n_shingles", "node", "keys"],
+                    names=["doc_id", "text_key", "n_shingles", "node", "keys", "held"],
                 )
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -120,27 +122,45 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
 
 
 def _parities(members: np.ndarray) -> bytes:
-    """A parity sketch of 32 to 64 bits for each member."""
-    width = max(64, 1 << (32 * len(members) - 1).bit_length())
+    """A parity sketch of 8 to 16 bits for each member."""
+    width = max(64, 1 << (8 * len(members)).bit_length())
     held = np.bincount((mix(members) & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.packbits((held & 1).astype(np.uint8)).tobytes()
 
 
-def _described(texts: DataFrame, n: int, whole: bool) -> DataFrame:
-    """node, size and held: the parity sketch of the text's set, or the ``whole`` set."""
+def _sets(texts: DataFrame, n: int) -> DataFrame:
+    """node, size and held: the whole set of the text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for full in batches for part in chunks(full, "text")):
             sets = shingle_sets(batch.column("text"), n)
-            held = [s.tobytes() if whole else _parities(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(held, pa.binary())],
+                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["node", "size", "held"],
             )
 
     return texts.select("node", "text").mapInArrow(describe, "node long, size long, held binary")
 
 
+def _allowed(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose sketches (node, size, held) do not rule out that they are similar."""
+
+    def bits_apart(x: bytes, y: bytes) -> int:
+        width = min(len(x), len(y))
+        parts = (z[k : k + width] for z in (x, y) for k in range(0, len(z), width))
+        return reduce(xor, (int.from_bytes(part) for part in parts)).bit_count()
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, *held = (batch.column(c).to_pylist() for c in ("total", "held_a", "held_b"))
+            kept = [bits_apart(x, y) * (den + num) <= (den - num) * t for t, x, y in zip(total, *held)]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    one, two = bits.toDF("a", "size_a", "held_a"), bits.toDF("b", "size_b", "held_b")
+    sizes = pairs.join(one, "a").join(two, "b").where(den * F.least("size_a", "size_b") >= num * F.greatest("size_a", "size_b"))
+    return sizes.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("total"), "held_a", "held_b").mapInArrow(judge, "a long, b long")
+
+
 def _folded(bits: list[bytes], width: int) -> np.ndarray:
     """Sketches as rows of ``width`` bytes: the parts of a wider one are added without carry."""
     out = np.zeros((len(bits), width // 8), np.uint64)
@@ -156,13 +176,19 @@ def propose(rows: pd.DataFrame, num: int, den: int, whole: bool) -> list[tuple[i
     of them link, every other pair that may link is connected too.
     """
     rows = rows.drop_duplicates("node").sort_values("node")
-    if len(rows) < 2:
+    columns = (rows[c].to_numpy() for c in ("node", "size", "held", "component"))
+    return _proposed(*columns, num, den, whole)
+
+
+def _proposed(node: np.ndarray, size: np.ndarray, held: np.ndarray, component: np.ndarray, num: int, den: int, whole: bool) -> list[tuple[int, int]]:
+    """:func:`propose` for different nodes in order."""
+    label = np.unique(component, return_inverse=True)[1]
+    if not len(label) or not label.any():
         return []
-    node, size, held = rows["node"].tolist(), rows["size"].to_numpy(np.int64), rows["held"].tolist()
+    node, size, held = node.tolist(), size.astype(np.int64), held.tolist()
     sets = [np.frombuffer(h, np.uint64) for h in held] if whole else None
     bits = [_parities(s) for s in sets] if whole else held
     sketch = _folded(bits, min(map(len, bits)))
-    label = np.unique(rows["component"], return_inverse=True)[1]
     found = []
     for i in range(len(node) - 1):
         later = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
@@ -187,9 +213,10 @@ def propose(rows: pd.DataFrame, num: int, den: int, whole: bool) -> list[tuple[i
 def _rest(groups: DataFrame, found: DataFrame, held: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
     """Proposed pairs (group, a, b) among the members of each group that are not connected yet.
 
-    The members outside the component of the group's pivot are dealt to tiles of bounded size, and so are
-    those inside. Two tiles of outside ones meet once, and each meets every inside one; a task never
-    holds more than a few tiles, and pairs are compared inside it without being rows.
+    A group of at most TILE members is one tile. In others the members outside the component of the group's
+    pivot are dealt to tiles of bounded size, and so are those inside. Two tiles of outside ones meet once, and
+    each meets every inside one; a task never holds more than a few tiles, and pairs are compared inside it
+    without being rows.
     """
     of = found.select("node", "component")
     pivot = of.select(F.col("node").alias("group"), F.col("component").alias("of_pivot"))
@@ -201,12 +228,15 @@ def _rest(groups: DataFrame, found: DataFrame, held: DataFrame, num: int, den: i
             (F.coalesce("component", "node") != F.coalesce("of_pivot", "group")).alias("outside"),
         )
     )
-    tiles = named.groupBy("group").agg(
-        F.ceil(F.count_if("outside") / TILE).cast("long").alias("n_out"), F.ceil(F.count_if(~F.col("outside")) / TILE).cast("long").alias("n_in")
-    )
-    own = named.join(tiles.where("n_out > 0"), "group").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in")))
+    of_each = lambda members: F.ceil(F.count_if(members) / TILE).cast("long")
+    tiles = (
+        named.groupBy("group")
+        .agg(of_each(F.col("outside")).alias("n_out"), of_each(~F.col("outside")).alias("n_in"), (F.count("*") <= TILE).alias("one"))
+        .where("n_out > 0")
+        .withColumn("n_in", F.when(F.col("one"), 0).otherwise(F.col("n_in")))
     )
+    own = named.join(tiles, "group").withColumn("outside", F.col("one") | F.col("outside"))
+    own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in"))))
     # A tile is named by two numbers: those of two outside ones, or of an outside one and an inside one after them all.
     meets = F.when(
         F.col("outside"),
@@ -225,9 +255,12 @@ def _rest(groups: DataFrame, found: DataFrame, held: DataFrame, num: int, den: i
     buckets = groups_of(dealt.count(), 2 * TILE)
 
     def pick(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (group, _, _), tile in part.groupby(["group", "i", "j"], sort=False):
-            out += [(group, a, b) for a, b in propose(tile, num, den, whole)]
+        out, rows = [], part.drop_duplicates(["group", "i", "j", "node"]).sort_values(["group", "i", "j", "node"])
+        tile = rows[["group", "i", "j"]].to_numpy()
+        columns = [rows[c].to_numpy() for c in ("node", "size", "held", "component")]
+        ends = np.append(np.flatnonzero((tile[1:] != tile[:-1]).any(axis=1)) + 1, len(rows))
+        for low, high in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+            out += [(tile[low, 0], a, b) for a, b in _proposed(*(c[low:high] for c in columns), num, den, whole)]
         return pd.DataFrame(out, columns=["group", "a", "b"])
 
     bucket = F.pmod(F.xxhash64("group", "i", "j"), F.lit(buckets))
@@ -241,7 +274,7 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     Two documents link if their sets of ``n`` words have a Jaccard similarity of ``num / den`` or more;
     A-Z is lower-cased. component_id is the smallest doc_id that links reach. A null text, and one
     without words, links with nothing. Copies are one node, not pairs. The candidates of a block are
-    a group around its smallest node. First all are compared with that, then those that are not
+    a group around its smallest node. First all that their sketches allow are compared with that, then those that are not
     connected yet with the others of the group, by their whole sketches inside the tasks; what these allow
     is verified. Where that fails the group is compared once more by whole sets. So no link that connects
     two components is lost, and the pairs of a large group are never rows. Rows of one doc_id are
@@ -266,12 +299,11 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
         keyed(docs).join(wanted, ["doc", "text_key"]).select("node", "text").dropDuplicates(["node"]),
         "texts",
     )
-    bits = materialize(_described(texts, n, whole=False), "bits")
+    sketched = known.select("node", F.col("n_shingles").alias("size"), "held")
+    bits = materialize(sketched.join(groups.select("node").distinct(), "node").dropDuplicates(["node"]), "bits")
 
-    sizes = bits.select("node", "size")
     star = groups.where("group <> node").select(F.col("group").alias("a"), F.col("node").alias("b"))
-    sized = star.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-    fits = sized.where(den * F.least("size_a", "size_b") >= num * F.greatest("size_a", "size_b")).select("a", "b")
+    fits = materialize(_allowed(star, bits, num, den), "fits")
     links = materialize(_verified(texts, fits, n, num, den).where("linked"), "verified").select("a", "b")
     found = components(links)
     told = materialize(_verified(texts, _rest(groups, found, bits, num, den, whole=False), n, num, den), "verified")
@@ -283,7 +315,7 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     if not failed.isEmpty():
         # Sketches of these groups came too close; their sets decide.
         again = groups.join(failed, "group")
-        sets = _described(texts.join(again.select("node").distinct(), "node"), n, whole=True)
+        sets = _sets(texts.join(again.select("node").distinct(), "node"), n)
         new = materialize(_rest(again, found, sets, num, den, whole=True).select("a", "b"), "verified")
         if not new.isEmpty():
             found = components(links.unionAll(new))

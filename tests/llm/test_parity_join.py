@@ -71,6 +71,25 @@ def test_block_keys_are_shuffled_once(spark, monkeypatch):
     assert plans["groups"].count("Generate explode(keys#") == 1 and "Join" not in plans["groups"]
 
 
+def test_sketches_rule_out_pairs_before_their_texts_are_compared(spark, monkeypatch):
+    rnd, kept, write = random.Random(7), {}, parity_join.materialize
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    vary = lambda times: " ".join(f"x{rnd.randrange(10**6)}" if k in at else w for at in [set(rnd.sample(range(200), times))] for k, w in enumerate(base))
+    rows = [(i, vary(15)) for i in range(60)] + [(60, " ".join(base)), (61, vary(1)), (62, vary(1))]
+
+    def keep(df, purpose):
+        out = write(df, purpose)
+        kept.setdefault(purpose, (out, df._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(parity_join, "materialize", keep)
+    got = parity_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 5, 80, 100)
+    met = kept["groups"][0].where("group <> node").count()
+    assert met > 20 and kept["fits"][0].count() < met / 4
+    assert "MapInArrow" not in kept["bits"][1]  # sketches are made once, with the block keys
+
+
 def test_empty_table(spark):
     assert parity_join.similar_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
